@@ -596,7 +596,7 @@ def registration_documents(spark: SparkSession, sf_dir: str) -> str:
         .otherwise(variant(2000 + n % 30)),
         F.concat(F.lit("make-"), F.col("l_partkey") % 50),
         F.when(n % 29 == 0, no_cell)
-        .when(n % 31 == 0, variant(F.col("l_quantity").cast("decimal(18,1)")))
+        .when(n % 31 == 0, variant(F.col("l_quantity")))
         .otherwise(variant(F.concat(F.lit("model-"), F.col("l_partkey")))),
         F.array(F.col("l_linenumber").cast("string"), F.lit("x]")),
         by_rest(
@@ -643,7 +643,7 @@ REGISTRATION_SQL = """
         CASE WHEN n % 11 <> 0 THEN CAST(2000 + n % 30 AS DOUBLE) END AS model_year,
         'make-' || (l_partkey % 50) AS make,
         CASE WHEN n % 29 = 0 THEN NULL
-             WHEN n % 31 = 0 THEN CAST(CAST(l_quantity AS DECIMAL(18, 1)) AS VARCHAR)
+             WHEN n % 31 = 0 THEN CAST(l_quantity AS VARCHAR)
              ELSE 'model-' || l_partkey END AS model,
         '["' || l_linenumber || '","x]"]' AS ev_type,
         CASE n % 6 WHEN 0 THEN TRUE WHEN 1 THEN TRUE WHEN 3 THEN TRUE WHEN 5 THEN NULL

@@ -46,7 +46,7 @@ def test_query(spark, duck, name):
     actual = [tuple(row) for row in result.select(*(f"`{c}`" for c in columns)).collect()]
     assert len(actual) == len(expected)
     for a, b in zip(sorted(actual, key=key), sorted(expected, key=key)):
-        assert all(map(same, a, b)), (a, b)
+        assert all(map(same, a, b)), [(c, x, y) for c, x, y in zip(columns, a, b) if not same(x, y)]
 
 
 def test_entry(spark):
