@@ -7,6 +7,8 @@ converted becomes NULL in its own field and the row is kept.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,28 +28,43 @@ _NUMBER = (
     r"|(?i:nan)"
     rf"){_PAD}\z"
 )
+# What most numbers look like, and what a cast reads without further ado.
+_PLAIN_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+_WHOLE_DECIMAL = r"^DECIMAL\((?:[1-9]|1[0-8]),0\)$"
+
 
+@dataclass(frozen=True)
+class Cell:
+    """A variant cell with what every conversion asks of it.
 
-def json_type(cell: Column) -> Column:
-    """``STRING``, ``BOOLEAN``, ``BIGINT``, ``DECIMAL(p,s)``, ``OBJECT<..>`` ..."""
-    return F.schema_of_variant(cell)
+    ``kind`` is ``STRING``, ``BOOLEAN``, ``BIGINT``, ``DECIMAL(p,s)``, ``OBJECT<..>`` ...,
+    ``text`` the string itself or else its JSON.
+    """
 
+    variant: Column
+    kind: Column
+    text: Column
 
-def cell_text(cell: Column) -> Column:
-    """The cell as text: strings as they are, anything else as JSON."""
-    return F.try_variant_get(cell, "$", "string")
+    @classmethod
+    def of(cls, variant: Column) -> Cell:
+        text = F.try_variant_get(variant, "$", "string")
+        return cls(variant, F.schema_of_variant(variant), text)
 
 
 def number_from_text(text: Column) -> Column:
-    """Text to double; junk, hexadecimal, type suffixes and thousands commas give NULL."""
+    """Text to double; junk, hexadecimal, type suffixes and thousands commas give NULL.
+
+    Text that is no number never reaches the cast, which would build an exception for it.
+    """
     digits = F.replace(F.regexp_extract(text, _NUMBER, 1), F.lit("_"), F.lit(""))
-    return digits.try_cast("double")
+    number = F.when(text.rlike(_PLAIN_NUMBER), text).when(text.rlike(_NUMBER), digits)
+    return number.try_cast("double")
 
 
-def number_from_cell(cell: Column) -> Column:
+def number_from_cell(cell: Cell) -> Column:
     """JSON numbers as they are, booleans as 1 and 0, strings by ``number_from_text``."""
-    return F.when(json_type(cell) == "STRING", number_from_text(cell_text(cell))).otherwise(
-        F.try_variant_get(cell, "$", "double")
+    return F.when(cell.kind == "STRING", number_from_text(cell.text)).otherwise(
+        F.try_variant_get(cell.variant, "$", "double")
     )
 
 
@@ -56,7 +73,7 @@ def long_from_text(text: Column) -> Column:
     return number_from_text(text).try_cast("bigint")
 
 
-def long_from_cell(cell: Column) -> Column:
+def long_from_cell(cell: Cell) -> Column:
     return number_from_cell(cell).try_cast("bigint")
 
 
@@ -65,31 +82,29 @@ def checkbox_from_text(text: Column) -> Column:
     return F.lower(text).isin(*TICKED)
 
 
-def checkbox_from_cell(cell: Column) -> Column:
-    kind = json_type(cell)
-    text = cell_text(cell)
+def checkbox_from_cell(cell: Cell) -> Column:
+    """Strings by ``checkbox_from_text``; zero and empty values are false, others true."""
+    nested = cell.kind.startswith("OBJECT") | cell.kind.startswith("ARRAY")
     return (
-        F.when(kind == "STRING", checkbox_from_text(text))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), ~text.isin("{}", "[]"))
-        .otherwise(F.try_variant_get(cell, "$", "boolean"))
+        F.when(cell.kind == "STRING", checkbox_from_text(cell.text))
+        .when(nested, ~cell.text.isin("{}", "[]"))
+        .otherwise(F.try_variant_get(cell.variant, "$", "boolean"))
     )
 
 
-def text_from_cell(cell: Column) -> Column:
+def text_from_cell(cell: Cell) -> Column:
     """Strings as they are, ``True``/``False``, fractions with their ``.0``, JSON otherwise."""
-    kind = json_type(cell)
-    text = cell_text(cell)
     return (
-        F.when(kind == "STRING", text)
-        .when(kind == "BOOLEAN", F.initcap(text))
+        F.when(cell.kind == "STRING", cell.text)
+        .when(cell.kind == "BOOLEAN", F.initcap(cell.text))
         # A fraction such as 5.0 is held as the decimal 5; beyond 18 digits a
         # scale of zero means a large integer instead.
-        .when(kind.rlike(r"^DECIMAL\((?:[1-9]|1[0-8]),0\)$"), F.concat(text, F.lit(".0")))
-        .otherwise(text)
+        .when(cell.kind.rlike(_WHOLE_DECIMAL), F.concat(cell.text, F.lit(".0")))
+        .otherwise(cell.text)
     )
 
 
-def coerce_cell(cell: Column, target: T.DataType) -> Column:
+def coerce_cell(cell: Cell, target: T.DataType) -> Column:
     """The conversion for a schema type; a type without one of its own becomes text."""
     if isinstance(target, T.DoubleType):
         return number_from_cell(cell)

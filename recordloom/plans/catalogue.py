@@ -277,7 +277,7 @@ def coerce_checkbox(spark, sf_dir):
     )
 
 
-def mixed_cell() -> Column:
+def mixed_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, cells.Cell]:
     """A JSON cell of another type for each remainder of the key."""
     key = F.col("event_id").cast("string")
     text = by_rest(
@@ -296,7 +296,9 @@ def mixed_cell() -> Column:
         },
         F.lit("false"),
     )
-    return F.try_parse_json(text)
+    events = table(spark, sf_dir, "events")
+    parsed = events.select("event_id", F.try_parse_json(text).alias("cell"))
+    return parsed, cells.Cell.of(F.col("cell"))
 
 
 @query(
@@ -309,9 +311,8 @@ FROM events
 """
 )
 def coerce_text(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(
-        "event_id", cells.text_from_cell(mixed_cell()).alias("cell")
-    )
+    parsed, cell = mixed_cells(spark, sf_dir)
+    return parsed.select("event_id", cells.text_from_cell(cell).alias("cell"))
 
 
 @query(
@@ -328,8 +329,8 @@ FROM events
 )
 def coerce_cells(spark, sf_dir):
     """Numbers and checkboxes from cells of every JSON type."""
-    cell = mixed_cell()
-    return table(spark, sf_dir, "events").select(
+    parsed, cell = mixed_cells(spark, sf_dir)
+    return parsed.select(
         "event_id",
         cells.number_from_cell(cell).alias("number"),
         cells.checkbox_from_cell(cell).alias("ticked"),
