@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 TICKED = ("true", "yes", "1", "t")
 
 # Characters a number may be padded with.
-_PAD = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
+_PAD = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
 # Digits, with single underscores allowed between them.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 # The sign of a NaN carries no meaning and is left out of the captured group.
