@@ -85,6 +85,20 @@ def test_positions_of_rejects(spark, document):
     assert all(r["source"].endswith("export.json") for r in rows)
 
 
+@pytest.mark.parametrize("size", [0, 10**9])
+def test_lenient_json(spark, document, size):
+    text = '{"meta": {"view": {"columns": [{"fieldName": "x", "dataTypeName": "number"}, {}]}}, '
+    text += '"data": [[NaN, {"k": 1, "k": [2]}], [-Infinity, 1e400], [1e400, "NaN"]]}'
+    before = spark.conf.get("spark.sql.variant.allowDuplicateKeys")
+    staged = recordloom.stage(spark, document(None, None, text=text), whole_document_bytes=size)
+    assert {str(tuple(r)) for r in staged.rows.collect()} == {
+        "(nan, '{\"k\":[2]}')",
+        "(-inf, 'Infinity')",
+        "(inf, 'NaN')",
+    }
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == before
+
+
 def test_staging_where_told(spark, document, tmp_path):
     target = str(tmp_path / "staged")
     staged = recordloom.stage(spark, document(DATA, COLUMNS), target)
