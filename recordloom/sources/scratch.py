@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the folder named by ``spark.checkpoint.dir``.
+    """A new, unused path under the session's checkpoint folder.
 
-    Only a local session without that setting gets a folder of its own.
+    That is the folder named by ``spark.checkpoint.dir`` or set on the context. Only a
+    local session with neither is given one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="recordloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

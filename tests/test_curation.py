@@ -163,6 +163,24 @@ def test_many_documents_are_checked_on_the_way(spark, document):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_small_and_large_documents_staged_together(spark, document):
+    small = [document([["x"], None], COLUMNS[:1], f"{i}.json") for i in range(9)]
+    large = document([[str(i)] for i in range(300)], COLUMNS[:1], "large.json")
+    other = document([[str(i)] for i in range(300)], COLUMNS[1:2], "other.json")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        assert not Export.open(spark, [*small, large], 1000).few
+        staged = recordloom.stage(spark, [*small, large], whole_document_bytes=1000)
+        with pytest.raises(MixedMetadata):
+            recordloom.stage(spark, [*small, other], whole_document_bytes=1000)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert staged.rows.count() == 309
+    assert staged.rejects.count() == 9
+
+
 def test_errors_come_before_the_write(spark, document):
     path = document(DATA, COLUMNS)
     staged = recordloom.stage(spark, path)
@@ -214,6 +232,15 @@ def test_plans(spark):
         assert "Python" not in plan(df)
 
 
+def test_split_reading_shuffles_text_once(spark, document):
+    path = document([[str(i), [i]] for i in range(50)], COLUMNS[:2])
+    scan = Export.open(spark, path, whole_document_bytes=0).split
+    read = plan(scan.records, "simple")
+    assert "Python" not in read
+    # Only records that lie across stretches are shuffled when they are opened.
+    assert read.count("Exchange") == 1
+
+
 def test_typing_stays_in_the_engine(spark, document):
     export = Export.open(spark, document(DATA, COLUMNS))
     schema = recordloom.build_schema(export.columns())
