@@ -20,7 +20,7 @@ from recordloom.plans.curation import Curation, run
 from recordloom.plans.documents import documents_once, json_cells
 from recordloom.plans.profiles import VEHICLE_REGISTRATIONS
 from recordloom.sinks.table import ensure_namespace, write_table
-from recordloom.sources.envelope import Export
+from recordloom.sources.envelope import Export, land
 from recordloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,14 @@ def envelope_rows_split(spark, sf_dir):
     return customer_rows(Export.open(spark, path, whole_document_bytes=0))
 
 
+@query(CUSTOMER_SQL)
+def landed_rows(spark, sf_dir):
+    """The same documents, landed as untyped records and typed from there."""
+    export = Export.open(spark, customer_documents(spark, sf_dir))
+    landed = land(export, scratch_path(spark, "landed"))
+    return records.create_dataframe(landed, build_schema(export.columns()))
+
+
 @query(
     """
 SELECT * FROM (VALUES (0, ':id', 'meta_data'), (1, 'name', 'text'), (2, 'Name', 'text'),

@@ -8,10 +8,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 import recordloom
+from recordloom.operators.records import create_dataframe
 from recordloom.plans.catalogue import registrations
 from recordloom.plans.documents import DOCUMENT_LINES, write_documents
 from recordloom.plans.profiles import VEHICLE_REGISTRATIONS, Profile
-from recordloom.sources.envelope import Export, preview, read_documents
+from recordloom.sources.envelope import Export, land, preview, read_documents
 from recordloom.sources.errors import EmptyExport, MixedMetadata
 from recordloom.sources.scratch import scratch_path
 
@@ -190,6 +191,19 @@ def test_errors_come_before_the_write(spark, document):
         recordloom.curate(staged, Profile(("id",), "id", ("id",), ("absent",)))
 
 
+def test_landed_records_keep_their_types(spark, document, tmp_path):
+    export = Export.open(spark, document(DATA, COLUMNS))
+    landed = land(export, str(tmp_path / "landed"))
+    text = "to_json(record) AS r"
+    assert sorted(landed.selectExpr("position", text).collect()) == sorted(
+        export.records().selectExpr("position", text).collect()
+    )
+    rows = create_dataframe(landed, recordloom.build_schema(COLUMNS)).collect()
+    assert sorted(r["year"] or 0 for r in rows) == [0, 0, 2001.0, 2003.0]
+    with pytest.raises(EmptyExport):
+        land(Export.open(spark, document([], COLUMNS)), str(tmp_path / "none"))
+
+
 def test_preview(spark, document):
     export = Export.open(spark, document(DATA, COLUMNS))
     assert preview(export.records(), 2).count() == 2
@@ -244,5 +258,5 @@ def test_split_reading_shuffles_text_once(spark, document):
 def test_typing_stays_in_the_engine(spark, document):
     export = Export.open(spark, document(DATA, COLUMNS))
     schema = recordloom.build_schema(export.columns())
-    text = plan(recordloom.operators.records.create_dataframe(export.records(), schema))
+    text = plan(create_dataframe(export.records(), schema))
     assert "Python" not in text and "Scan json" in text
