@@ -7,7 +7,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from recordloom.plans.catalogue import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -32,14 +33,14 @@ def same(a, b):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
-    found = duck.execute(oracle_sql()[name])
+    found = duck.execute(ORACLES[name])
     order = [d[0] for d in found.description]
     assert sorted(order) == columns
     expected = [tuple(row[order.index(c)] for c in columns) for row in found.fetchall()]
