@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import packing, token_store
+from recordloom.llm import bpe, packing, repetition, simhash, token_store
 from recordloom.llm.folders import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,9 @@ ORACLES: dict[str, str] = {}
 #: The token that ends a document.
 END_ID = 2
 
+#: SimHash near-dedup: words in a shingle, largest number of differing bits.
+SHINGLE, BITS = 4, 4
+
 
 def query(function):
     QUERIES[function.__name__] = function
@@ -41,6 +44,14 @@ def vocabulary(name: str) -> str:
     return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
+@query
+def op2_simhash(spark, sf_dir):
+    """Components of fingerprints of 4-word shingles at 4 or fewer differing bits."""
+    found = simhash.near_duplicates(documents(spark, sf_dir), SHINGLE, BITS)
+    hexadecimal = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
+
+
 @query
 def op5_best_fit_packing(spark, sf_dir):
     """Every document's pieces of at most 1024 tokens, packed into sequences."""
@@ -49,6 +60,12 @@ def op5_best_fit_packing(spark, sf_dir):
     return packed.withColumn("piece", F.col("piece").cast("int"))
 
 
+@query
+def op6_repetition(spark, sf_dir):
+    """Repetition counts and shares, the base rule and the verdict of every text."""
+    return repetition.score(documents(spark, sf_dir))
+
+
 @query
 def op8_token_store(spark, sf_dir):
     """Ids written to compressed files and read back."""
@@ -58,3 +75,12 @@ def op8_token_store(spark, sf_dir):
         return pa.array([zlib.crc32(ids.tobytes()) for ids in many], pa.int64())
 
     return token_store.store_rows(spark, folder, crc32, "ids_crc32 long")
+
+
+@query
+def op9_byte_bpe(spark, sf_dir):
+    """Ids by the ranks of the vocabulary, and the bytes they decode to."""
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir)
+    return bpe.digests(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
