@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, packing, repetition, simhash, token_store
+from recordloom.llm import bpe, langid, ngram_lm, packing, repetition, simhash, token_store
 from recordloom.llm.folders import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,9 @@ ORACLES: dict[str, str] = {}
 #: The token that ends a document.
 END_ID = 2
 
+#: Words of the language model's longest n-gram.
+ORDER = 2
+
 #: SimHash near-dedup: words in a shingle, largest number of differing bits.
 SHINGLE, BITS = 4, 4
 
@@ -44,6 +47,20 @@ def vocabulary(name: str) -> str:
     return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
+def remainder_is_2(modulus: int) -> Column:
+    """The documents that are held out; one without an id is not."""
+    rest = F.crc32(F.col("doc_id").cast("string")) % modulus
+    return F.coalesce(rest == 2, F.lit(False))
+
+
+@query
+def op1_ngram_lm(spark, sf_dir):
+    """Scores of all texts by a model counted on those that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = ngram_lm.train(docs.where(~remainder_is_2(7)), order=ORDER)
+    return ngram_lm.score(docs, model).withColumn("held_out", remainder_is_2(7))
+
+
 @query
 def op2_simhash(spark, sf_dir):
     """Components of fingerprints of 4-word shingles at 4 or fewer differing bits."""
@@ -84,3 +101,11 @@ def op9_byte_bpe(spark, sf_dir):
 
     docs = documents(spark, sf_dir)
     return bpe.digests(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    """The language of every text, learned from the labelled rows that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs, ~remainder_is_2(4))
+    return langid.identify(docs, model).withColumn("held_out", remainder_is_2(4))
