@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, langid, ngram_lm, packing, repetition, simhash, token_store
+from recordloom.llm import bpe, knn, langid, line_templates, ngram_lm, packing, repetition, simhash, token_store
 from recordloom.llm.folders import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,29 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
+@query
+def op3_exact_top_k(spark, sf_dir):
+    """The 20 highest inner products of every twentieth vector with all others."""
+    ship_package(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = vectors.select("vec_id", knn.quantized(F.col("embedding"), 64).alias("vector"))
+    return knn.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+ORACLES["op3_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+
 @query
 def op5_best_fit_packing(spark, sf_dir):
     """Every document's pieces of at most 1024 tokens, packed into sequences."""
@@ -83,6 +106,13 @@ def op6_repetition(spark, sf_dir):
     return repetition.score(documents(spark, sf_dir))
 
 
+@query
+def op7_line_templates(spark, sf_dir):
+    """Every text without the lines of templates that recur across documents."""
+    found = line_templates.drop_recurring(documents(spark, sf_dir), counts=True)
+    return found.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query
 def op8_token_store(spark, sf_dir):
     """Ids written to compressed files and read back."""
