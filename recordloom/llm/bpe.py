@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from recordloom.llm.encoder import Encoder
 from recordloom.llm.text import slices
 
-#: Matches up to this many bytes share a numpy tree; pieces kept by a worker.
-SHORT, KEPT_PIECES = 64, 600_000
+#: Matches up to this many bytes share a numpy tree; pieces kept until those unused go.
+SHORT, KEPT_PIECES = 64, 400_000
 NONE = np.int64(1) << np.int64(62)
 
 _codecs: dict[str, Codec] = {}
@@ -50,6 +50,7 @@ class Codec:
         self._keys = np.array(sorted(pairs), np.int64)
         self._ranks = np.array([pairs[k] for k in self._keys.tolist()], np.int64)
         self.kept: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     @staticmethod
     def of(ranks: str, pattern: str) -> Codec:
@@ -173,12 +174,13 @@ class Codec:
         """The ids of each text."""
         cut = [Encoder.pieces(text) or [text] for text in texts]
         needed = set().union(*cut)
+        if len(self.kept) > KEPT_PIECES:
+            self.kept, self.before = {}, self.kept
         new = needed.difference(self.kept)
-        if len(self.kept) + len(new) > KEPT_PIECES:
-            self.kept.clear()
-            new = needed
-        if new:
-            self._learn(list(new))
+        for piece in new.intersection(self.before):
+            self.kept[piece] = self.before[piece]
+        if new := list(new.difference(self.before)):
+            self._learn(new)
         kept = self.kept
         found = [np.frombuffer(b"".join([kept[p] for p in pieces]), "<u4") for pieces in cut]
         for pieces in cut:
