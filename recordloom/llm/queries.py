@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, knn, langid, line_templates, ngram_lm, packing, repetition, simhash, token_store
+from recordloom.llm import bpe, knn, langid, line_templates, ngram_lm, packing, repetition, simhash, substring, token_store
 from recordloom.llm.folders import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,9 @@ END_ID = 2
 #: Words of the language model's longest n-gram.
 ORDER = 2
 
+#: Substring dedup: words of a window.
+WINDOW = 13
+
 #: SimHash near-dedup: words in a shingle, largest number of differing bits.
 SHINGLE, BITS = 4, 4
 
@@ -92,6 +95,12 @@ WHERE rank <= 20
 """
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    """What is left of every text when 13-word windows of smaller documents are removed."""
+    return substring.digests(documents(spark, sf_dir), WINDOW)
+
+
 @query
 def op5_best_fit_packing(spark, sf_dir):
     """Every document's pieces of at most 1024 tokens, packed into sequences."""
