@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.llm.text import buffers, lower, slices, utf8
+from recordloom.llm.text import buffers, lower, rows_that, slices, utf8
 
 #: Features: hashed byte n-grams of these lengths in so many columns.
 LENGTHS, COLUMNS = (1, 2, 3), 1 << 14
@@ -178,21 +178,23 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], object)
         for batch in slices(batches, "text"):
-            texts = batch.column("text")
-            data, offsets = buffers(texts)
-            if model.languages:
-                best, score, ambiguous = decode(margins(data, offsets, model), model)
-                known = _has_letter(data, offsets, texts)
-            else:
-                best = np.zeros(len(texts), int)
-                score, ambiguous, known = best.astype(float), best > 0, best > 0
-            columns = [pa.array(names[np.where(known, best, -1)]), pa.array(np.where(known, score, 0.0)), pa.array(ambiguous | ~known)]
+            best, score, ambiguous = judged(batch.column("text"), model)
+            columns = [pa.array(names[best], pa.string()), pa.array(score), pa.array(ambiguous)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "ambiguous"])
 
     return plain.mapInArrow(run, SCHEMA)
 
 
+def judged(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The language's place (the last for ``und``), the score, and whether no language is sure."""
+    if not model.languages:
+        return np.zeros(len(texts), int), np.zeros(len(texts)), np.ones(len(texts), bool)
+    data, offsets = buffers(texts)
+    best, score, ambiguous = decode(margins(data, offsets, model), model)
+    known = _has_letter(data, offsets, texts)
+    return np.where(known, best, len(model.languages)), np.where(known, score, 0.0), ambiguous | ~known
+
+
 def keep(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose text has a language that is not ambiguous, with their columns."""
-    known = identify(docs, model).where("NOT ambiguous").select(F.col("doc_id").alias("_known_id")).distinct()
-    return docs.join(known, docs["doc_id"] == known["_known_id"], "left_semi")
+    return rows_that(docs, lambda texts: ~judged(texts, model)[2])

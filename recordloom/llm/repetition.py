@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.text import Words, buffers, mix, ngrams, slices, span_hashes, utf8, whole
+from recordloom.llm.text import Words, buffers, mix, ngrams, rows_that, slices, span_hashes, utf8, whole
 
 #: Largest share of characters in repeated n-grams, by the words of the n-gram.
 COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -123,5 +123,4 @@ def score(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text passes, with their columns."""
-    verdicts = score(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(verdicts, docs["doc_id"] == verdicts["_kept_id"], "left_semi")
+    return rows_that(docs, lambda texts: measure(*buffers(texts))["kept"])

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text worked on at once; a longer document is a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -37,6 +38,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             at = to
 
 
+def rows_that(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text (as UTF-8) the judge accepts; no shuffle."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "utf8"):
+            accepted = pa.array(judge(batch.column("utf8")))
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(accepted)], ["row"])
+
+    schema = StructType([StructField("row", docs.schema)])
+    return docs.select(row.alias("row"), utf8("text").alias("utf8")).mapInArrow(run, schema).select("row.*")
+
+
 def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a text or binary column; nulls are empty."""
     array = pc.fill_null(array.cast(pa.large_binary()), b"")
