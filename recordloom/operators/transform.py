@@ -84,13 +84,16 @@ def select_allowed_columns(df: DataFrame, allowed: Sequence[str]) -> DataFrame:
 def name_drift(names: DataFrame, allowed: DataFrame) -> DataFrame:
     """Compare two one-column tables of names: ``column, status``, one row per differing name.
 
+    One pass over each table; the rows come in no order. NULL names are left out of neither:
+    a NULL equals no other name.
+
     ``dropped`` names occur but are not allowed; ``missing`` ones are allowed but do not occur.
     """
-    found = names.select(F.col(names.columns[0]).alias("column")).distinct()
-    wanted = allowed.select(F.col(allowed.columns[0]).alias("column")).distinct()
-    dropped = found.join(wanted, "column", "left_anti").withColumn("status", F.lit("dropped"))
-    missing = wanted.join(found, "column", "left_anti").withColumn("status", F.lit("missing"))
-    return dropped.unionByName(missing).orderBy("status", "column")
+    found = names.select(F.col(names.columns[0]).alias("column")).distinct().withColumn("occurs", F.lit(True))
+    wanted = allowed.select(F.col(allowed.columns[0]).alias("column")).distinct().withColumn("allowed", F.lit(True))
+    status = F.when(F.col("allowed").isNull(), "dropped").when(F.col("occurs").isNull(), "missing")
+    both = found.join(wanted, "column", "full_outer").select("column", status.alias("status"))
+    return both.where("status IS NOT NULL")
 
 
 def column_drift(spark: SparkSession, columns: Sequence[str], allowed: Sequence[str]) -> DataFrame:

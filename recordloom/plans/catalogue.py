@@ -115,25 +115,46 @@ def landed_rows(spark, sf_dir):
 
 @query(
     """
-SELECT * FROM (VALUES (0, ':id', 'meta_data'), (1, 'name', 'text'), (2, 'Name', 'text'),
-                      (3, NULL, 'Number'), (4, 'acct bal', NULL))
-         AS v(position, field_name, type_name)
+SELECT (row_number() OVER (ORDER BY n_nationkey) - 1)::INTEGER AS position,
+       CASE WHEN n_nationkey % 7 <> 0 THEN n_name END AS field_name,
+       CASE n_regionkey WHEN 0 THEN 'text' WHEN 1 THEN 'Number' WHEN 2 THEN 'checkbox' END AS type_name
+FROM nation
 """
 )
 def envelope_columns(spark, sf_dir):
-    """The column metadata that all documents share."""
-    whole = Export.open(spark, customer_documents(spark, sf_dir)).whole
+    """The column metadata of a document whose columns are the nations, from either reader."""
+    kinds = {0: "text", 1: "Number", 2: "checkbox"}
+    nations = table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()  # 25 rows at any scale
+    columns = []
+    for nation in nations:
+        entry = {"id": nation.n_nationkey}
+        if nation.n_nationkey % 7:
+            entry["fieldName"] = nation.n_name
+        if nation.n_regionkey in kinds:
+            entry["dataTypeName"] = kinds[nation.n_regionkey]
+        columns.append(entry)
+    rows = table(spark, sf_dir, "region").select(json_cells(F.col("r_regionkey"), F.col("r_name")))
+    path = documents_once(sf_dir, "nations", rows, columns)
+    read = [Export.open(spark, path, size) for size in (10**9, 0)]
+    both = read[0].whole.select("meta").unionByName(read[1].split.skeletons.select("meta"))
     entry = F.posexplode("columns").alias("position", "entry")
-    return (
-        whole.select(F.col("meta.view.columns").alias("columns"))
-        .distinct()
-        .select(entry)
-        .select(
-            "position",
-            F.col("entry.fieldName").alias("field_name"),
-            F.col("entry.dataTypeName").alias("type_name"),
-        )
+    described = both.select(F.col("meta.view.columns").alias("columns")).distinct().select(entry)
+    return described.select(
+        "position",
+        F.col("entry.fieldName").alias("field_name"),
+        F.col("entry.dataTypeName").alias("type_name"),
+    )
+
+
+@query("SELECT o_orderkey::DOUBLE AS key, o_orderstatus AS status, o_totalprice AS price FROM orders")
+def flat_rows_split(spark, sf_dir):
+    """Documents without nested arrays, read in splits: every stretch but the ends is even."""
+    columns = [{"fieldName": "key", "dataTypeName": "number"}, {"fieldName": "status"}, {"fieldName": "price", "dataTypeName": "number"}]
+    rows = table(spark, sf_dir, "orders").select(
+        json_cells(F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice").cast("string"))
     )
+    path = documents_once(sf_dir, "orders", rows, columns)
+    return customer_rows(Export.open(spark, path, whole_document_bytes=0))
 
 
 # Metadata to schema
@@ -177,16 +198,29 @@ def name_clean(spark, sf_dir):
 
 @query(
     """
-SELECT page_id, host || CASE WHEN n > 0 THEN '_' || n ELSE '' END AS name
-FROM (SELECT page_id, host, row_number() OVER (PARTITION BY host ORDER BY page_id) - 1 AS n
-      FROM (SELECT page_id, split_part(url, '/', 3) AS host FROM pages))
+WITH RECURSIVE hosts AS (
+  SELECT row_number() OVER (ORDER BY page_id) AS i, page_id,
+         CASE page_id % 5 WHEN 0 THEN 'a' WHEN 1 THEN 'A' WHEN 2 THEN 'a_1' WHEN 3 THEN 'a_1_1'
+              ELSE split_part(url, '/', 3) END AS name
+  FROM pages),
+given AS (
+  SELECT 0::BIGINT AS i, NULL::BIGINT AS page_id, NULL::VARCHAR AS name, []::VARCHAR[] AS used
+  UNION ALL
+  SELECT h.i, h.page_id, h.new, list_append(g.used, lower(h.new)) FROM given g, LATERAL (
+    SELECT h.i, h.page_id,
+           CASE WHEN NOT list_contains(g.used, lower(h.name)) THEN h.name
+                ELSE h.name || '_' || list_min(list_filter(range(1, len(g.used) + 2),
+                       lambda k: NOT list_contains(g.used, lower(h.name) || '_' || k))) END AS new
+    FROM hosts h WHERE h.i = g.i + 1) h)
+SELECT page_id, name FROM given WHERE i > 0
 """
 )
 def name_dedup(spark, sf_dir):
-    hosts = table(spark, sf_dir, "pages").select(
-        "page_id", F.split_part("url", F.lit("/"), F.lit(3)).alias("host")
-    )
-    return dedup_names(hosts, "host", "page_id", "name").select("page_id", "name")
+    """Names that collide with each other's numbers, and the hosts of pages, which only repeat."""
+    host = F.split_part("url", F.lit("/"), F.lit(3))
+    named = by_rest("page_id", 5, {0: F.lit("a"), 1: F.lit("A"), 2: F.lit("a_1"), 3: F.lit("a_1_1")}, host)
+    rows = table(spark, sf_dir, "pages")
+    return dedup_names(rows.select("page_id", named.alias("host")), "host", "page_id", "name").select("page_id", "name")
 
 
 # Records to typed rows
@@ -497,14 +531,16 @@ def range_audit(spark, sf_dir):
 SELECT count(CASE WHEN o_custkey IS NULL THEN 1 END) AS o_custkey_nulls,
        count(CASE WHEN o_orderstatus IS NULL THEN 1 END) AS o_orderstatus_nulls, {DUPLICATES_SQL},
        min(o_totalprice) AS min_price, max(o_totalprice) AS max_price,
-       count(*) AS o_orderdate_failures
+       count(CASE WHEN o_orderkey % 4 IN (0, 1) THEN 1 END) AS o_orderdate_failures
 FROM {HOLEY_ORDERS}
 """
 )
 def full_audit(spark, sf_dir):
-    """All checks in one aggregate."""
+    """All checks in one aggregate; some dates parse, some do not, some are missing."""
+    text = F.col("o_orderdate")
+    dates = by_rest("o_orderkey", 4, {0: F.lit("junk"), 1: text, 2: text_null()}, F.concat(text, F.lit("T00:00:00")))
     return quality.quality_report(
-        holey_orders(spark, sf_dir),
+        holey_orders(spark, sf_dir).withColumn("o_orderdate", dates),
         keys=["o_custkey", "o_orderstatus"],
         unique="o_custkey",
         ranges={"o_totalprice": "price"},
@@ -641,8 +677,8 @@ def registration_documents(spark: SparkSession, sf_dir: str) -> str:
     return documents_once(sf_dir, "registrations", lines.select(record), REGISTRATION_COLUMNS)
 
 
-def registrations(spark: SparkSession, sf_dir: str) -> Curation:
-    return run(spark, registration_documents(spark, sf_dir), REGISTRATIONS)
+def registrations(spark: SparkSession, sf_dir: str, **options) -> Curation:
+    return run(spark, registration_documents(spark, sf_dir), REGISTRATIONS, **options)
 
 
 REGISTRATION_SQL = """
@@ -671,16 +707,26 @@ REGISTRATION_SQL = """
 """
 
 
-@query(
-    f"""
+CURATED_SQL = f"""
 SELECT * EXCLUDE (n) FROM {REGISTRATION_SQL}
 WHERE vin_1_10 IS NOT NULL AND dol_vehicle_id IS NOT NULL
 """
-)
+
+
+def dates_as_text(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("expected_date_parsed", F.col("expected_date_parsed").cast("string"))
+
+
+@query(CURATED_SQL)
 def curation_run(spark, sf_dir):
     """Documents to curated rows."""
-    curated = registrations(spark, sf_dir).curated
-    return curated.withColumn("expected_date_parsed", F.col("expected_date_parsed").cast("string"))
+    return dates_as_text(registrations(spark, sf_dir).curated)
+
+
+@query(CURATED_SQL)
+def curation_run_split(spark, sf_dir):
+    """The same documents, each read by many tasks."""
+    return dates_as_text(registrations(spark, sf_dir, whole_document_bytes=0).curated)
 
 
 @query(
@@ -714,26 +760,70 @@ def curation_duplicates(spark, sf_dir):
     return registrations(spark, sf_dir).duplicates()
 
 
+# The documents hold the line items in the table's order, 99,998 to a document.
+REJECTS_SQL = """
+SELECT CASE WHEN n % 53 = 0 THEN 'too short' WHEN n % 59 = 0 THEN 'too long'
+            WHEN n % 61 = 0 THEN 'null record' ELSE 'not an array' END AS reason,
+       CASE WHEN n % 53 = 0 THEN '["row-' || n || '",' || vin || ',' || county || ']'
+            WHEN n % 59 = 0 THEN '["row-' || n || '",' || vin || ',' || county || ',"' || l_linestatus || ']\\"",'
+                 || CASE WHEN n % 5 = 0 THEN 'true' ELSE '"WA"' END || ',' || l_suppkey || ','
+                 || CASE WHEN n % 11 = 0 THEN '"n/a"' WHEN n % 7 = 0 THEN '" ' || year || ' "'
+                         WHEN n % 13 = 0 THEN '"' || left(year, 1) || '_' || right(year, 3) || '"'
+                         ELSE year END
+                 || ',"make-' || (l_partkey % 50) || '",'
+                 || CASE WHEN n % 29 = 0 THEN 'null' WHEN n % 31 = 0 THEN quantity
+                         ELSE '"model-' || l_partkey || '"' END
+                 || ',["' || l_linenumber || '","x]"],'
+                 || CASE n % 6 WHEN 0 THEN '"TRUE"' WHEN 1 THEN '"yes"' WHEN 2 THEN '0' WHEN 3 THEN 'true'
+                               WHEN 4 THEN '" t"' ELSE 'null' END
+                 || ',' || quantity || ',"'
+                 || CASE WHEN n % 37 = 0 THEN '12d' ELSE CAST(l_extendedprice AS VARCHAR) END || '",'
+                 || CASE WHEN n % 3 = 0 THEN 'true' ELSE CAST(n % 49 AS VARCHAR) END || ','
+                 || CASE WHEN n % 19 <> 0 THEN '"D' || (l_orderkey * 10 + l_linenumber // 2) || '"'
+                         ELSE 'null' END
+                 || ',{"at":[' || l_partkey || ',' || l_suppkey || '],"type":"Point"},"utility",'
+                 || CASE n % 41 WHEN 0 THEN '"junk"' WHEN 1 THEN 'null' WHEN 2 THEN '" ' || shipped || '"'
+                                ELSE '"' || shipped || '"' END
+                 || ',"unnamed","second","extra"]'
+            WHEN n % 61 = 0 THEN 'null'
+            ELSE '{"n":' || n || '}' END AS raw,
+       (row - 1) % 99998 AS position
+FROM (SELECT *, l_orderkey * 10 + l_linenumber AS n, row_number() OVER () AS row,
+             CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
+             CAST(2000 + (l_orderkey * 10 + l_linenumber) % 30 AS VARCHAR) AS year,
+             CASE WHEN (l_orderkey * 10 + l_linenumber) % 17 <> 0
+                  THEN '"  V' || (l_orderkey * 10 + l_linenumber) || ' "' ELSE 'null' END AS vin,
+             '" ' || l_returnflag || '\\t "' AS county,
+             strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS shipped
+      FROM lineitem)
+WHERE n % 53 = 0 OR n % 59 = 0 OR n % 61 = 0 OR n % 67 = 0
+"""
+
+
+@query(REJECTS_SQL)
+def curation_rejects(spark, sf_dir):
+    """The records that were set aside, with their whole text and place."""
+    return registrations(spark, sf_dir).rejects().select("reason", "raw", "position")
+
+
+@query(REJECTS_SQL)
+def curation_rejects_split(spark, sf_dir):
+    """The same from documents read by many tasks."""
+    rejects = registrations(spark, sf_dir, whole_document_bytes=0).rejects()
+    return rejects.select("reason", "raw", "position")
+
+
 @query(
-    """
-SELECT reason, raw, count(*) AS records FROM (
-  SELECT CASE WHEN n % 53 = 0 THEN 'too short' WHEN n % 59 = 0 THEN 'too long'
-              WHEN n % 61 = 0 THEN 'null record' ELSE 'not an array' END AS reason,
-         CASE WHEN n % 53 = 0
-              THEN '["row-' || n || '",' || CASE WHEN n % 17 <> 0 THEN '"  V' || n || ' "'
-                   ELSE 'null' END || '," ' || l_returnflag || '\\t "]'
-              WHEN n % 59 = 0 THEN 'long' WHEN n % 61 = 0 THEN 'null'
-              ELSE '{"n":' || n || '}' END AS raw
-  FROM (SELECT *, l_orderkey * 10 + l_linenumber AS n FROM lineitem)
-  WHERE n % 53 = 0 OR n % 59 = 0 OR n % 61 = 0 OR n % 67 = 0)
-GROUP BY reason, raw
+    f"""
+SELECT count(*) AS rows_written FROM {REGISTRATION_SQL}
+WHERE vin_1_10 IS NOT NULL AND dol_vehicle_id IS NOT NULL
 """
 )
-def curation_rejects(spark, sf_dir):
-    """The records that were set aside, counted by reason and text (long ones by reason)."""
-    text = F.when(F.col("reason") == "too long", "long").otherwise(F.col("raw"))
-    rejects = registrations(spark, sf_dir).rejects().select("reason", text.alias("raw"))
-    return rejects.groupBy("reason", "raw").agg(F.count(F.lit(1)).alias("records"))
+def published_count(spark, sf_dir):
+    """What ``publish`` reports: the rows that are left after the drop."""
+    namespace = query_namespace(spark)
+    rows = registrations(spark, sf_dir).publish("spark_catalog", namespace, "counted", fmt="parquet")
+    return spark.createDataFrame([(rows,)], "rows_written bigint")
 
 
 @query(
@@ -747,7 +837,4 @@ def curation_published(spark, sf_dir):
     namespace = query_namespace(spark)
     result = registrations(spark, sf_dir)
     result.publish("spark_catalog", namespace, "registrations", fmt="parquet")
-    published = spark.table(f"spark_catalog.{namespace}.registrations")
-    return published.withColumn(
-        "expected_date_parsed", F.col("expected_date_parsed").cast("string")
-    )
+    return dates_as_text(spark.table(f"spark_catalog.{namespace}.registrations"))

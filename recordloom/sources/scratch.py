@@ -21,6 +21,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="recordloom-"))
         base = context.getCheckpointDir()
+    if base.startswith(("file:", "/")) and not context.master.startswith("local"):
+        if not base.startswith("file:"):
+            base = f"{_qualified(spark, base)}"
+        if base.startswith("file:"):
+            raise ValueError(f"executors on other machines do not share {base}")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -30,3 +35,41 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path with its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    found, system = _path(spark, path)
+    return found.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+
+
+def hand_over(spark: SparkSession, fresh: str, target: str) -> None:
+    """Put the finished folder ``fresh`` in the place of ``target``, which may exist."""
+    found, system = _path(spark, target)
+    if system.exists(found):
+        system.delete(found, True)
+    system.mkdirs(found.getParent())
+    if not system.rename(_path(spark, fresh)[0], found):
+        raise OSError(f"{fresh} could not be moved to {target}")
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    found, system = _path(spark, path)
+    system.delete(found, True)
+
+
+def hidden_files(spark: SparkSession, path: str) -> list[str]:
+    """Names in the folder ``path`` that Spark passes over, but for those that writers leave."""
+    found, system = _path(spark, path)
+    inside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/[_.]*")
+    if any(c in path for c in "*?[{") or not system.exists(found) or not system.getFileStatus(found).isDirectory():
+        return []
+    names = [status.getPath().getName() for status in system.globStatus(inside)]
+    marks = ("_SUCCESS", "_temporary", "_committed_", "_started_", "_metadata", "_common_metadata")
+    return [n for n in names if not n.startswith(marks) and not n.endswith(".crc")]

@@ -1,5 +1,7 @@
 """Metadata to schema."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,3 +64,17 @@ def test_numbering_of_a_hot_name(spark, span):
         seen[name] = n + 1
         expected[i] = None if name is None else f"{name}_{n}" if n else name
     assert found == expected
+
+
+def test_names_are_unique_as_in_a_schema(spark):
+    rng = random.Random(5)
+    stems = ["a", "A", "b", "a_1", "a_1_1", "A_2", "b_1", "x_y", "hot", "hot", "hot"]
+    lists = [["a", "a", "a_1", "A"], [rng.choice(stems) + rng.choice(["", "", "_1", "_2"]) for _ in range(300)]]
+    for names_in in lists:
+        rows = [(i, n, -i, "x") for i, n in enumerate(names_in)]
+        df = spark.createDataFrame(rows, "at int, name string, stretch int, _size string").repartition(4)
+        out = dedup_names(df, "name", "at", "out", span=10)
+        assert out.columns == ["at", "name", "stretch", "_size", "out"]
+        expected = build_schema([{"fieldName": n} for n in names_in]).names
+        assert [r["out"] for r in out.orderBy("at").collect()] == expected
+        assert len({n.lower() for n in expected}) == len(expected)
