@@ -41,7 +41,9 @@ from recordloom.llm.text import Words, buffers, mix, ngrams, slices, span_hashes
 from recordloom.sources.scratch import scratch_path
 
 #: Suffixes of a group of prefixes, and hashes of a part of the filter.
-GROUP, FILTER_PART = 1_000_000, 2_000_000
+GROUP, FILTER_PART = 700_000, 2_000_000
+#: Bytes of a group's words that are worked on at once.
+BLOCK = 2 << 20
 #: Bits of a window's hash that the filter compares, besides those that choose its part.
 FILTER_BITS = 32
 #: A slice reports prefixes that at least this share of a group's suffixes have in it.
@@ -308,11 +310,7 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
     compared through numbers that stand for the distinct words of the group.
     """
     owner = np.concatenate(owners)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    lines = np.concatenate([[0], np.flatnonzero(data == 10) + 1])
-    words = Words(data, lines)
-    spans = span_hashes(data, words.start, words.end)
-    number = _numbers(words, spans).reshape(-1, window)
+    number = _numbers(np.frombuffer(b"".join(texts), np.uint8)).reshape(-1, window)
     at = np.arange(len(owner))
     node = np.zeros(len(owner), np.int64)
     for level in range(window):
@@ -333,25 +331,33 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
     return out
 
 
-def _numbers(words: Words, spans: np.ndarray) -> np.ndarray:
-    """A number for each word, equal for equal bytes only."""
-    values, first, of = np.unique(spans, return_index=True, return_inverse=True)
-    size = words.end - words.start
-    like = first[of]
-    alike = size == size[like]
-    # compare every word with the first of its hash, byte by byte
-    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    here = words.data[np.repeat(words.start, size) + place]
-    there = words.data[np.minimum(np.repeat(words.start[like], size) + place, len(words.data) - 1)]
-    wrong = np.repeat(np.arange(len(size)), size)[here != there]
-    alike[wrong] = False
-    if alike.all():
-        return of
-    raw = words.data.tobytes()
-    exact = {raw[words.start[f] : words.end[f]]: k for k, f in enumerate(first.tolist())}
-    of = of.copy()
-    for k in np.flatnonzero(~alike).tolist():
-        of[k] = exact.setdefault(raw[words.start[k] : words.end[k]], len(exact) + len(values))
+def _numbers(data: np.ndarray) -> np.ndarray:
+    """A number for each word of lines of text, equal for equal words only; in blocks of lines."""
+    ends = np.flatnonzero(data == 10) + 1
+    starts, stops, spans, at = [], [], [], 0
+    while at < len(data):
+        to = int(ends[max(np.searchsorted(ends, at + BLOCK, side="right") - 1, np.searchsorted(ends, at, side="right"))])
+        words = Words(data[at:to], np.array([0, to - at]))
+        starts.append(words.start + at)
+        stops.append(words.end + at)
+        spans.append(span_hashes(words.data, words.start, words.end))
+        at = to
+    start, stop = np.concatenate(starts), np.concatenate(stops)
+    values, first, of = np.unique(np.concatenate(spans), return_index=True, return_inverse=True)
+    del starts, stops, spans
+    # every word is compared with the first of its hash, byte by byte
+    exact: dict[bytes, int] = {}
+    for at in range(0, len(of), BLOCK // 8):
+        part = slice(at, at + BLOCK // 8)
+        size, like = stop[part] - start[part], first[of[part]]
+        other = size != stop[like] - start[like]
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        here = data[np.repeat(start[part], size) + place]
+        there = data[np.minimum(np.repeat(start[like], size) + place, len(data) - 1)]
+        other[np.repeat(np.arange(len(size)), size)[here != there]] = True
+        for k in np.flatnonzero(other).tolist():  # equal hashes of different words
+            word = data[start[at + k] : stop[at + k]].tobytes()
+            of[at + k] = exact.setdefault(word, len(values) + len(exact))
     return of
 
 
