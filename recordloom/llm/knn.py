@@ -39,12 +39,16 @@ def quantized(vector: Column, scale: int) -> Column:
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
-    """Rows of equal width, zeros where a vector is shorter."""
+    """Rows of equal width, zeros where a vector is shorter, without what is beyond the width."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     sizes = np.diff(column.offsets.to_numpy())
     out = np.zeros((len(column), width), np.int64)
-    out[np.arange(width) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    if len(sizes) and sizes.max() > width:
+        within = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        values = values[within < width]
+    out[np.arange(width) < sizes[:, None]] = values
     return out
 
 

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from recordloom.llm import bpe, knn, langid, line_templates, ngram_lm, packing, repetition, simhash, substring, token_store
 from recordloom.llm.folders import ship_package
+from recordloom.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 #: The token that ends a document.
 END_ID = 2
@@ -81,20 +83,6 @@ def op3_exact_top_k(spark, sf_dir):
     return knn.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
 
 
-ORACLES["op3_exact_top_k"] = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
-SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
-WHERE rank <= 20
-"""
-
-
 @query
 def op4_substring_dedup(spark, sf_dir):
     """What is left of every text when 13-word windows of smaller documents are removed."""
