@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.encoder import Encoder
+from recordloom.llm.encoder import ODD, Lookup, pieces_of
 from recordloom.llm.text import slices
 
 #: Matches up to this many bytes share a numpy tree; pieces kept until those unused go.
@@ -170,19 +170,21 @@ class Codec:
         for piece, own in zip(pieces, matches):
             self.kept[piece] = b"".join([known[m] for m in own])
 
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        pieces = None if ODD.search(text) else pieces_of(text)
+        return [text] if pieces is None else pieces
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        cut = [Encoder.pieces(text) or [text] for text in texts]
-        needed = set().union(*cut)
+        cut = [self._cut(text) for text in texts]
         if len(self.kept) > KEPT_PIECES:
             self.kept, self.before = {}, self.kept
-        new = needed.difference(self.kept)
-        for piece in new.intersection(self.before):
-            self.kept[piece] = self.before[piece]
-        if new := list(new.difference(self.before)):
-            self._learn(new)
+        looked = Lookup(cut, self.kept, self.before)
+        if looked.new:
+            self._learn(looked.new)
         kept = self.kept
-        found = [np.frombuffer(b"".join([kept[p] for p in pieces]), "<u4") for pieces in cut]
+        found = [np.frombuffer(b"".join(values), "<u4") for values in looked.values(kept)]
         for pieces in cut:
             if len(pieces) == 1:  # whole texts are not worth keeping
                 kept.pop(pieces[0], None)

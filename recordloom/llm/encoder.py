@@ -14,10 +14,13 @@ import re
 
 import numpy as np
 
-#: Pieces kept by a worker; when there are more, it begins anew.
-KEPT_PIECES = 600_000
+#: Pieces kept by a worker: when there are so many, those not seen since the last time go.
+KEPT_PIECES = 550_000
+#: Pieces encoded as one text.
+TOGETHER = 100
 
-_whole = re.compile(r"\s\s|[\0\x1c-\x1f]|^[^\S \n]|[^\S\n]\Z|<\||\|>")
+# White space but a leading space and a line break alone.
+ODD = re.compile(r"[^\S \n]|[\x1c-\x1f]")
 _encoders: dict[str, Encoder] = {}
 
 
@@ -30,7 +33,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.newline = self._ids("\n")
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {"": b"", "\n": self.newline.tobytes()}
+        self.before: dict[str, bytes] = {}
+        self.limit = KEPT_PIECES
         kind = type(self.tokenizer.pre_tokenizer).__name__
         self.cuts = (
             kind == "ByteLevel"
@@ -38,52 +43,86 @@ class Encoder:
             and len(self.newline) == 1
             and not self.tokenizer.pre_tokenizer.add_prefix_space
         )
-        self._begin()
 
     @staticmethod
-    def of(tokenizer: str) -> Encoder:
-        """One encoder for each vocabulary and worker."""
+    def of(tokenizer: str, limit: int | None = None) -> Encoder:
+        """One encoder for each vocabulary and worker; ``limit`` to the pieces it keeps."""
         name = hashlib.sha256(tokenizer.encode()).hexdigest()
         if name not in _encoders:
             _encoders[name] = Encoder(tokenizer)
+        _encoders[name].limit = limit or KEPT_PIECES
         return _encoders[name]
 
-    def _begin(self) -> None:
-        self.kept.clear()
-        self.kept.update({"": b"", "\n": self.newline.tobytes()})
-
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn(self, pieces: list[str]) -> None:
-        ids = self._ids("\n".join(pieces))
-        cuts = np.flatnonzero(ids == self.newline[0])
-        if len(cuts) != len(pieces) - 1:
-            raise ValueError("the tokenizer does not keep line breaks apart")
-        raw, at = ids.tobytes(), 0
-        for piece, cut in zip(pieces, [*cuts.tolist(), len(ids)]):
-            self.kept[piece] = raw[4 * at : 4 * cut]
-            at = cut + 1
+        parts = [pieces[at : at + TOGETHER] for at in range(0, len(pieces), TOGETHER)]
+        joined = ["\n".join(part) for part in parts]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.newline[0])
+            if len(cuts) != len(part) - 1:
+                raise ValueError("the tokenizer does not keep line breaks apart")
+            raw, at = ids.tobytes(), 0
+            for piece, cut in zip(part, [*(4 * cuts).tolist(), len(raw)]):
+                self.kept[piece] = raw[at:cut]
+                at = cut + 4
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens."""
-        cut = [self.pieces(text) if self.cuts else None for text in texts]
-        needed = set().union(*(pieces for pieces in cut if pieces))
-        new = needed.difference(self.kept)
-        if len(self.kept) + len(new) > KEPT_PIECES:
-            self._begin()
-            new = needed.difference(self.kept)
-        if new:
-            self._learn(list(new))
-        kept = self.kept
-        return [
-            self._ids(text) if pieces is None else np.frombuffer(b"".join([kept[p] for p in pieces]), "<u4")
-            for text, pieces in zip(texts, cut)
-        ]
+        cut = [pieces_of(text) if self.cuts else None for text in texts]
+        if len(self.kept) > self.limit:
+            self.kept, self.before = {p: self.kept[p] for p in ("", "\n")}, self.kept
+        found = Lookup(cut, self.kept, self.before)
+        if new := found.new:
+            odd = {p for p in new if ODD.search(p)} if ODD.search("".join(new)) else ()
+            self.kept.update(dict.fromkeys(odd))  # no bytes: their texts are encoded whole
+            self._learn([p for p in new if p not in odd])
+        out = []
+        for text, values in zip(texts, found.values(self.kept)):
+            try:
+                out.append(self._ids(text) if values is None else np.frombuffer(b"".join(values), "<u4"))
+            except TypeError:
+                out.append(self._ids(text))
+        return out
+
+
+class Lookup:
+    """What is kept of the pieces of many texts, each looked up once.
+
+    ``new`` are those that are not; what was kept the time before is taken over.
+    """
+
+    def __init__(self, cut: list[list[str] | None], kept: dict, before: dict):
+        self.cut, self.known, self.open = cut, [], []
+        missing: set[str] = set()
+        for pieces in cut:
+            known = None if pieces is None else list(map(kept.get, pieces))
+            at = [] if known is None else [i for i, value in enumerate(known) if value is None]
+            missing.update([pieces[i] for i in at])
+            self.known.append(known)
+            self.open.append(at)
+        for piece in missing:
+            if piece in before:
+                kept[piece] = before[piece]
+        self.new = [piece for piece in missing if piece not in kept]
+
+    def values(self, kept: dict) -> list[list[bytes | None] | None]:
+        """The kept values by text, when the new ones are kept too."""
+        for pieces, known, at in zip(self.cut, self.known, self.open):
+            for i in at:
+                known[i] = kept[pieces[i]]
+        return self.known
+
+
+def pieces_of(text: str) -> list[str] | None:
+    """The text cut where no token crosses, or None if it can't be cut.
+
+    A piece with other white space than a leading space tells no more than that its
+    text can't be cut either.
+    """
+    if "  " in text or "\n\n" in text or " \n" in text or "<|" in text or "\0" in text or text[-1:] == " ":
+        return None
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
-    @staticmethod
-    def pieces(text: str) -> list[str] | None:
-        """The text cut where no token crosses, or None if it can't be."""
-        if _whole.search(text):
-            return None
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")

@@ -29,7 +29,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     """Best-fit decreasing over counts: the runs as (length, rank, pieces, sequence, offset).
 
     Pieces of length 0 share the first sequence. A step ends a length or moves a whole
-    run of sequences on to a smaller rest, so the runs are few (thousands for a
+    run of sequences on to a smaller rest, so the runs are few (about 15,000 for a
     capacity of 1024) whatever the counts.
     """
     runs: list[tuple[int, int, int, int, int]] = []
@@ -87,7 +87,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     runs = runs.withColumnRenamed("length", "of_length")
     at = F.col("rank") - F.col("rank_from")
     placed = ranked.join(
-        F.broadcast(runs),  # thousands of rows at most, by the capacity and not by the documents
+        F.broadcast(runs),  # about 15 rows for each token of the capacity, however many documents
         (F.col("length") == F.col("of_length")) & (at >= 0) & (at < F.col("pieces")),
     )
     columns = [F.col("piece")[c].alias(c) if c != "length" else F.col("length") for c in pieces.columns if c in kept or c == "length"]
@@ -128,16 +128,19 @@ def cut_lengths(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(starts, [*starts[1:], length])]
 
 
-def document_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
+def document_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False, kept: int | None = None
+) -> DataFrame:
     """The pieces of every document: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``.
 
-    ``tokenizer`` is the text of a tokenizer's JSON file. Null texts are empty and so
-    are one piece that holds the end id alone.
+    ``tokenizer`` is the text of a tokenizer's JSON file, ``kept`` the pieces of text whose
+    ids a worker keeps (fewer take less memory and more time). Null texts are empty and
+    so are one piece that holds the end id alone.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder.of(tokenizer, kept)
         for batch in slices(batches, "text"):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             rows = []
@@ -157,6 +160,8 @@ def document_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
     return plain.mapInArrow(cut, schema + ", ids array<long>" * with_ids)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False, kept: int | None = None
+) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return pack(document_pieces(docs, tokenizer, end_id, capacity, with_ids), capacity)
+    return pack(document_pieces(docs, tokenizer, end_id, capacity, with_ids, kept), capacity)

@@ -158,7 +158,7 @@ def _runs(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 def _compressor(dictionary: bytes):
     shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-    return zstandard.ZstdCompressor(level=3, dict_data=shared, write_dict_id=False)
+    return zstandard.ZstdCompressor(level=1, dict_data=shared, write_dict_id=False)
 
 
 def footer_of(index: pa.Table, place: int, digest: bytes, width: int) -> bytes:

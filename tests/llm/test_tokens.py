@@ -38,9 +38,9 @@ def odd_texts():
 
 
 def test_pieces_encode_as_whole_texts(library, reference, monkeypatch):
-    monkeypatch.setattr(encoder, "KEPT_PIECES", 200)
     monkeypatch.setattr(bpe, "KEPT_PIECES", 200)
     own, codec = encoder.Encoder(FILE), bpe.Codec(RANKS, PATTERN)
+    own.limit = 200
     texts = odd_texts()
     for at in range(0, len(texts), 50):
         batch = texts[at : at + 50]
