@@ -63,7 +63,8 @@ def op1_ngram_lm(spark, sf_dir):
     """Scores of all texts by a model counted on those that are not held out."""
     docs = documents(spark, sf_dir)
     model = ngram_lm.train(docs.where(~remainder_is_2(7)), order=ORDER)
-    return ngram_lm.score(docs, model).withColumn("held_out", remainder_is_2(7))
+    scored = ngram_lm.score(docs, model)
+    return scored.select("doc_id", remainder_is_2(7).alias("held_out"), *scored.columns[1:])
 
 
 @query
@@ -135,4 +136,5 @@ def op10_language_id(spark, sf_dir):
     """The language of every text, learned from the labelled rows that are not held out."""
     docs = documents(spark, sf_dir)
     model = langid.train(docs, ~remainder_is_2(4))
-    return langid.identify(docs, model).withColumn("held_out", remainder_is_2(4))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", remainder_is_2(4).alias("held_out"), *found.columns[1:])
