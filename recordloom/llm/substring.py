@@ -42,8 +42,8 @@ from recordloom.sources.scratch import scratch_path
 
 #: Suffixes of a group of prefixes, and hashes of a part of the filter.
 GROUP, FILTER_PART = 700_000, 2_000_000
-#: Bytes of a group's words that are worked on at once.
-BLOCK = 2 << 20
+#: Bytes of text in a slice, and of a group's text that are worked on at once.
+SLICE_BYTES, BLOCK = 4 << 20, 1 << 20
 #: Bits of a window's hash that the filter compares, besides those that choose its part.
 FILTER_BITS = 32
 #: A slice reports prefixes that at least this share of a group's suffixes have in it.
@@ -120,7 +120,7 @@ def _sliced(docs: DataFrame, window: int, id_column: str) -> tuple[DataFrame, in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             words = Words(*buffers(batch.column("text"))).counts()
             windows = int(np.maximum(words - window + 1, 0).sum())
             yield pa.RecordBatch.from_arrays([[number], [windows], [_pack_rows(batch)]], schema=SLICE)
@@ -306,13 +306,22 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
     """For suffixes of one group: does a smaller document have the same window?
 
     The trees are built from the top. A node is a run of suffixes with the same words so
-    far; it is split by the next word, and a node with one leaf is left. Words are
-    compared through numbers that stand for the distinct words of the group.
+    far; it is split by the next word, and a node with one leaf is left. Suffixes with
+    the same line of text are one leaf; words are compared through numbers that stand
+    for the distinct words of the group.
     """
     owner = np.concatenate(owners)
-    number = _numbers(np.frombuffer(b"".join(texts), np.uint8)).reshape(-1, window)
-    at = np.arange(len(owner))
-    node = np.zeros(len(owner), np.int64)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    stop = np.flatnonzero(data == 10)
+    start = np.concatenate([[0], stop[:-1] + 1])
+    first, leaf = _distinct(data, start, stop)
+    least = np.full(len(first), LAST)
+    np.minimum.at(least, leaf, owner)
+    lines = [data[a : b + 1].tobytes() for a, b in zip(start[first].tolist(), stop[first].tolist())]
+    word_start, word_stop, text = _words(b"".join(lines))
+    number = _distinct(text, word_start, word_stop)[1].reshape(-1, window)
+    at = np.arange(len(first))
+    node = np.zeros(len(first), np.int64)
     for level in range(window):
         if not len(at):
             break
@@ -323,42 +332,61 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
         node = np.cumsum(new) - 1
         shared = np.bincount(node)[node] > 1
         at, node = at[shared], node[shared]
-    out = np.zeros(len(owner), bool)
     if len(at):
-        first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-        least = np.minimum.reduceat(owner[at], first)
-        out[at] = owner[at] > np.repeat(least, np.diff([*first, len(at)]))
-    return out
+        begin = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        least[at] = np.repeat(np.minimum.reduceat(least[at], begin), np.diff([*begin, len(at)]))
+    return owner > least[leaf]
+
+
+def _blocks(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(from, to) of items that end at ``ends``, so many that a block has about BLOCK bytes."""
+    at = 0
+    while at < len(ends):
+        used = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, used + BLOCK, side="right")))
+        yield at, to
+        at = to
 
 
-def _numbers(data: np.ndarray) -> np.ndarray:
-    """A number for each word of lines of text, equal for equal words only; in blocks of lines."""
+def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of lines of text, in blocks of lines, and the text's bytes."""
+    data = np.frombuffer(text, np.uint8)
     ends = np.flatnonzero(data == 10) + 1
-    starts, stops, spans, at = [], [], [], 0
-    while at < len(data):
-        to = int(ends[max(np.searchsorted(ends, at + BLOCK, side="right") - 1, np.searchsorted(ends, at, side="right"))])
-        words = Words(data[at:to], np.array([0, to - at]))
-        starts.append(words.start + at)
-        stops.append(words.end + at)
-        spans.append(span_hashes(words.data, words.start, words.end))
-        at = to
-    start, stop = np.concatenate(starts), np.concatenate(stops)
-    values, first, of = np.unique(np.concatenate(spans), return_index=True, return_inverse=True)
-    del starts, stops, spans
-    # every word is compared with the first of its hash, byte by byte
-    exact: dict[bytes, int] = {}
-    for at in range(0, len(of), BLOCK // 8):
-        part = slice(at, at + BLOCK // 8)
-        size, like = stop[part] - start[part], first[of[part]]
+    starts, stops = [], []
+    for a, b in _blocks(ends):
+        low, high = int(ends[a - 1]) if a else 0, int(ends[b - 1])
+        words = Words(data[low:high], np.array([0, high - low]))
+        starts.append(words.start + low)
+        stops.append(words.end + low)
+    return np.concatenate(starts), np.concatenate(stops), data
+
+
+def _distinct(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the distinct byte spans, and for each span the number of its like among them.
+
+    Spans come in order. Hashes find the likes, bytes decide; both in blocks.
+    """
+    spans = []
+    for a, b in _blocks(stop):
+        low, high = int(start[a]), int(stop[b - 1])
+        spans.append(span_hashes(data[low:high], start[a:b] - low, stop[a:b] - low))
+    _, first, of = np.unique(np.concatenate(spans), return_index=True, return_inverse=True)
+    del spans
+    more, exact = [], {}
+    for a, b in _blocks(stop):
+        size, like = stop[a:b] - start[a:b], first[of[a:b]]
         other = size != stop[like] - start[like]
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        here = data[np.repeat(start[part], size) + place]
+        here = data[np.repeat(start[a:b], size) + place]
         there = data[np.minimum(np.repeat(start[like], size) + place, len(data) - 1)]
         other[np.repeat(np.arange(len(size)), size)[here != there]] = True
-        for k in np.flatnonzero(other).tolist():  # equal hashes of different words
-            word = data[start[at + k] : stop[at + k]].tobytes()
-            of[at + k] = exact.setdefault(word, len(values) + len(exact))
-    return of
+        for k in (np.flatnonzero(other) + a).tolist():  # equal hashes of different bytes
+            raw = data[start[k] : stop[k]].tobytes()
+            if raw not in exact:
+                exact[raw] = len(first) + len(more)
+                more.append(k)
+            of[k] = exact[raw]
+    return np.concatenate([first, np.array(more, np.int64)]), of
 
 
 def _removed(found: Slice, smaller: np.ndarray) -> np.ndarray:
