@@ -1,10 +1,12 @@
 """An interpolated modified Kneser-Ney model, counted in Spark and mapped by workers.
 
 Words are 64-bit hashes. Tasks count the n-grams of their texts and send them, sorted and
-compressed, to the shard of their context; there the counts are added, and each
-distinct n-gram adds one to the continuation count of its shorter one, which goes on to
-the next order's shards. A shard is a file of sorted hash arrays in the shared folder.
-Workers map the files and look the n-grams of many documents up in sorted order.
+compressed, to the shard of their hash; there the counts are added. Each distinct n-gram
+adds one to the continuation count of its shorter one, which goes on to the next order's
+shards, and counts for its context, whose sums are added in shards of their own: so the
+followers of a frequent word lie in many shards, and its sums are one row from each.
+A shard is a file of sorted hash arrays in the shared folder. Workers map the files and
+look the n-grams of many documents up in sorted order.
 
 The number of shards follows the text's size, so a shard's memory does not grow. The
 driver gets one row of totals for each shard.
@@ -31,7 +33,7 @@ START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 #: Bytes of text for each shard, n-grams that a task counts before it sends them.
-SHARD_BYTES, HELD = 16 << 20, 3_000_000
+SHARD_BYTES, HELD = 16 << 20, 2_500_000
 #: Counts from this on are stored apart, so that a count is one byte.
 LARGE = 255
 
@@ -66,11 +68,6 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
     return ((mix(key) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _shard_key(columns: list[np.ndarray]) -> np.ndarray:
-    """What an n-gram is dealt by: its context, or a single word itself."""
-    return chain(columns[:-1]) if len(columns) > 1 else columns[0]
-
-
 def added(columns: list[np.ndarray], adjusted: np.ndarray, raw: np.ndarray):
     """One row for each distinct n-gram, sorted by context and word, with its counts added."""
     context = chain(columns[:-1]) if len(columns) > 1 else np.zeros(len(columns[0]), np.uint64)
@@ -86,40 +83,46 @@ def added(columns: list[np.ndarray], adjusted: np.ndarray, raw: np.ndarray):
     )
 
 
-def _pack(columns, adjusted, raw) -> bytes:
-    parts = [*columns, adjusted.astype(np.uint64), raw.astype(np.uint64)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts))
+def _pack(parts: list[np.ndarray]) -> bytes:
+    raw = b"".join(p.astype(np.uint64).tobytes() for p in parts)
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
 
+def _unpack(payload: bytes, count: int) -> list[np.ndarray]:
+    return list(np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint64).reshape(count, -1))
 
-def _unpack(payload: bytes, order: int):
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint64).reshape(order + 2, -1)
-    return list(raw[:order]), raw[order], raw[order + 1]
 
+GRAMS, CONTEXTS = 0, 1
 
-def _dealt(columns, adjusted, raw, shards: int) -> Iterator[pa.RecordBatch]:
-    """A row for each shard with its n-grams (sorted by context, so a stable sort keeps them so)."""
-    shard = shard_of(_shard_key(columns), shards)
+
+def _dealt(parts: list[np.ndarray], key: np.ndarray, shards: int, kind: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shard with its part of the arrays (in their order, so sorted ones compress)."""
+    shard = shard_of(key, shards)
     order = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     for k in np.flatnonzero(np.diff(cuts)):
         own = order[cuts[k] : cuts[k + 1]]
-        payload = _pack([c[own] for c in columns], adjusted[own], raw[own])
-        yield _row(shard=int(k), payload=payload)
+        yield _row(shard=int(k), kind=kind, payload=_pack([p[own] for p in parts]))
+
 
+def _dealt_grams(columns, adjusted, raw, shards: int) -> Iterator[pa.RecordBatch]:
+    yield from _dealt([*columns, adjusted, raw], chain(columns), shards, GRAMS)
 
-ROW = pa.schema([("shard", pa.int32()), ("payload", pa.binary()), ("path", pa.string()), ("totals", pa.list_(pa.int64()))])
-ROW_SQL = "shard int, payload binary, path string, totals array<long>"
+
+ROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary()), ("path", pa.string()), ("totals", pa.list_(pa.int64()))])
+ROW_SQL = "shard int, kind int, payload binary, path string, totals array<long>"
 
 
 def _row(**values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([{"shard": None, "payload": None, "path": None, "totals": None, **values}], ROW)
+    return pa.RecordBatch.from_pylist([{"shard": None, "kind": None, "payload": None, "path": None, "totals": None, **values}], ROW)
 
 
 @dataclass
 class Level:
     """One order of a model."""
 
-    paths: list[str | None] = field(default_factory=list)  # by shard
+    paths: list[str | None] = field(default_factory=list)  # by shard of the n-gram
+    contexts: list[str | None] = field(default_factory=list)  # by shard of the context
     discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
 
 
@@ -157,7 +160,7 @@ def train(docs: DataFrame, order: int = 2) -> Model:
         def sent():
             columns = [np.concatenate([h[0][k] for h in held]) for k in range(order)]
             counts = np.concatenate([h[1] for h in held])
-            yield from _dealt(*added(columns, counts, counts), shards)
+            yield from _dealt_grams(*added(columns, counts, counts), shards)
 
         for batch in slices(batches, "text"):
             tokens, places, _ = sequences(*buffers(batch.column("text")), order)
@@ -175,98 +178,142 @@ def train(docs: DataFrame, order: int = 2) -> Model:
     sent = docs.select(utf8("text").alias("text")).mapInArrow(counted, ROW_SQL)
     for n in range(order, 0, -1):
         built = table(_built(sent, n, shards, folder), f"order-{n}")
-        level = Level([None] * shards)
-        totals = np.zeros(12, np.int64)
+        level = Level([None] * shards, [None] * shards)
+        totals = np.zeros(8, np.int64)
         for row in built.where("path IS NOT NULL").select("shard", "path", "totals").collect():
             level.paths[row.shard] = row.path
             totals += row.totals
         level.discounts = discounts(totals[:4].tolist())
         model.levels[n] = level
         if n == 1:
-            model.words, model.tokens = int(totals[7]), int(totals[8])
-            mass = sum(d * t for d, t in zip(level.discounts, totals[[0, 1, 6]].tolist()))
-            model.unigram = (int(totals[9]), mass)
-        sent = built.where("payload IS NOT NULL")
+            model.words, model.tokens = int(totals[5]), int(totals[6])
+            mass = sum(d * t for d, t in zip(level.discounts, totals[[0, 1, 4]].tolist()))
+            model.unigram = (int(totals[7]), mass)
+        if n > 1:
+            summed = _contexts(built.where(F.col("kind") == CONTEXTS), n, shards, folder)
+            for row in summed.select("shard", "path").collect():
+                level.contexts[row.shard] = row.path
+        sent = built.where(F.col("kind") == GRAMS)
     return model
 
 
 def _built(sent: DataFrame, n: int, shards: int, folder: str) -> DataFrame:
-    """Each shard's file of order ``n``, and its n-grams for the order below."""
+    """Each shard's file of order ``n``, its n-grams for the order below, and its contexts' sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, shard = [], 0, None
 
         def merged():
-            columns = [np.concatenate([h[0][k] for h in held]) for k in range(n)]
-            return added(columns, np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]))
+            columns = [np.concatenate([h[k] for h in held]) for k in range(n + 2)]
+            return added(columns[:n], columns[n], columns[n + 1])
 
         least = 0
         for batch in batches:
             for payload in batch.column("payload"):
                 shard = batch.column("shard")[0].as_py()
-                held.append(_unpack(payload.as_py(), n))
-                rows += len(held[-1][1])
+                held.append(_unpack(payload.as_py(), n + 2))
+                rows += len(held[-1][0])
                 if rows >= 2 * least + HELD:
-                    held = [merged()]
-                    rows = least = len(held[0][1])
+                    columns, adjusted, raw = merged()
+                    held = [[*columns, adjusted, raw]]
+                    rows = least = len(raw)
         if shard is None:
             return
         columns, adjusted, raw = merged()
         held = []
         if n > 1:
-            yield from _dealt(*added(columns[1:], np.ones(len(raw), np.uint64), raw), shards)
+            sums = _context_sums(chain(columns[:-1]), adjusted)
+            yield from _dealt(sums, sums[0], shards, CONTEXTS)
+            yield from _dealt_grams(*added(columns[1:], np.ones(len(raw), np.uint64), raw), shards)
         writer = SharedWriter(folder, f"order-{n}-{shard:06d}")
         yield _row(shard=shard, path=writer.path, totals=_stored(writer, columns, adjusted, raw))
 
     return sent.select("shard", "payload").repartitionById(shards, F.col("shard")).mapInArrow(run, ROW_SQL)
 
 
+def _context_sums(context: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    """Sorted contexts with the sum of counts, and how many words followed once, twice and more often."""
+    order = np.argsort(context, kind="stable")
+    context, count = context[order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    times = [np.add.reduceat(x, first, dtype=np.uint64) for x in (count == 1, count == 2, count > 2)]
+    return [context[first], np.add.reduceat(count, first), *times]
+
+
+def _contexts(sent: DataFrame, n: int, shards: int, folder: str) -> DataFrame:
+    """Each shard's file of contexts, their sums added."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, least, shard = [], 0, 0, None
+
+        def merged() -> list[np.ndarray]:
+            parts = [np.concatenate([h[k] for h in held]) for k in range(5)]
+            order = np.argsort(parts[0], kind="stable")
+            key = parts[0][order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            return [key[first], *(np.add.reduceat(p[order], first) for p in parts[1:])]
+
+        for batch in batches:
+            for payload in batch.column("payload"):
+                shard = batch.column("shard")[0].as_py()
+                held.append(_unpack(payload.as_py(), 5))
+                rows += len(held[-1][0])
+                if rows >= 2 * least + HELD:
+                    held = [merged()]
+                    rows = least = len(held[0][0])
+        if shard is not None:
+            writer = SharedWriter(folder, f"contexts-{n}-{shard:06d}")
+            _write(writer, [part.astype(kind) for part, kind in zip(merged(), CONTEXT_TYPES)])
+            yield _row(shard=shard, path=writer.path)
+
+    return sent.select("shard", "payload").repartitionById(shards, F.col("shard")).mapInArrow(run, ROW_SQL)
+
+
+def _write(writer: SharedWriter, arrays: list[np.ndarray]) -> None:
+    """A header with the arrays' sizes, then the arrays, each from a multiple of 8 bytes on."""
+    header = np.zeros(8, np.uint64)
+    header[: len(arrays)] = [a.nbytes for a in arrays]
+    writer.write(header.tobytes())
+    for a in arrays:
+        writer.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
+    writer.close()
+
+
 def _stored(writer: SharedWriter, columns, adjusted, raw) -> list[int]:
     """Write a shard's arrays; returns its totals.
 
-    n-grams: sorted hashes, counts of one byte, large counts apart; for single words also
-    the plain counts. Contexts: sorted hashes, sums of counts, and how many words
-    followed once, twice and more often.
+    Sorted hashes, counts of one byte, large counts apart; for single words also the
+    plain counts.
     """
-    n = len(columns)
     key = chain(columns)
     order = np.argsort(key)
     key, count, plain = key[order], adjusted[order], raw[order]
     large = np.flatnonzero(count >= LARGE)
     arrays = [key, np.minimum(count, LARGE).astype(np.uint8), large.astype(np.uint32), count[large]]
-    if n == 1:
-        arrays.append(plain)
-    else:
-        context = chain([c[order] for c in columns[:-1]])
-        by = np.argsort(context, kind="stable")
-        context, counts = context[by], count[by]
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        arrays += [context[first], np.add.reduceat(counts, first)]
-        arrays += [np.add.reduceat(x, first, dtype=np.uint32) for x in (counts == 1, counts == 2, counts > 2)]
-    header = np.zeros(16, np.uint64)
-    header[: len(arrays)] = [a.nbytes for a in arrays]
-    writer.write(header.tobytes())
-    for a in arrays:
-        writer.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
-    writer.close()
+    _write(writer, [*arrays, plain] if len(columns) == 1 else arrays)
     times = [int((count == k).sum()) for k in (1, 2, 3, 4)]
-    return [*times, 0, 0, int((count > 2).sum()), len(key), int(raw.sum()), int(count.sum()), 0, 0]
+    return [*times, int((count > 2).sum()), len(key), int(raw.sum()), int(count.sum())]
 
 
-TYPES = {1: (np.uint64, np.uint8, np.uint32, np.uint64, np.uint64)}
-MANY = (np.uint64, np.uint8, np.uint32, np.uint64, np.uint64, np.uint64, np.uint32, np.uint32, np.uint32)
+GRAM_TYPES = (np.uint64, np.uint8, np.uint32, np.uint64, np.uint64)
+CONTEXT_TYPES = (np.uint64, np.uint64, np.uint64, np.uint64, np.uint64)
+
+
+def _arrays(path: str, kinds: tuple) -> list[np.ndarray]:
+    """A file's arrays, mapped."""
+    raw = mapped(path)
+    sizes, at, arrays = np.frombuffer(raw, np.uint64, 8), 64, []
+    for kind, size in zip(kinds, sizes.tolist()):
+        arrays.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
+        at += size + -size % 8
+    return arrays
 
 
 class Shard:
-    """A shard's arrays, mapped from its file."""
+    """A shard's n-grams."""
 
-    def __init__(self, path: str, n: int):
-        raw = mapped(path)
-        sizes, at, arrays = np.frombuffer(raw, np.uint64, 16), 128, []
-        for kind, size in zip(TYPES.get(n, MANY), sizes.tolist()):
-            arrays.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
-            at += size + -size % 8
-        self.key, self.small, self.large, self.large_count, *self.more = arrays
+    def __init__(self, path: str):
+        self.key, self.small, self.large, self.large_count, self.plain = _arrays(path, GRAM_TYPES)
 
     def counts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count of each key (sorted), whether it is there, and where."""
@@ -287,17 +334,22 @@ class Reader:
 
     def __init__(self, model: Model):
         self.model = model
-        self._open: dict[tuple[int, int], Shard] = {}
+        self._open: dict[str, Shard | list[np.ndarray]] = {}
+
+    def _file(self, path: str | None, opened):
+        if path is not None and path not in self._open:
+            self._open[path] = opened(path)
+        return self._open.get(path)
+
+    def _grams(self, n: int, k: int) -> Shard | None:
+        return self._file(self.model.levels[n].paths[k], Shard)
 
-    def _shard(self, n: int, k: int) -> Shard | None:
-        path = self.model.levels[n].paths[k]
-        if path is not None and (n, k) not in self._open:
-            self._open[n, k] = Shard(path, n)
-        return self._open.get((n, k))
+    def _contexts(self, n: int, k: int) -> list[np.ndarray] | None:
+        return self._file(self.model.levels[n].contexts[k], lambda path: _arrays(path, CONTEXT_TYPES))
 
-    def _by_shard(self, dealt_by: np.ndarray, keys: np.ndarray):
+    def _by_shard(self, keys: np.ndarray):
         """(shard, places of its keys in sorted order) for all keys."""
-        shard = shard_of(dealt_by, self.model.shards)
+        shard = shard_of(keys, self.model.shards)
         order = np.lexsort((keys, shard))
         cuts = np.searchsorted(shard[order], np.arange(self.model.shards + 1))
         for k in np.flatnonzero(np.diff(cuts)):
@@ -308,10 +360,10 @@ class Reader:
         model = self.model
         count, plain = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
         words = tokens[places]
-        for k, own in self._by_shard(words, words):
-            if shard := self._shard(1, k):
+        for k, own in self._by_shard(words):
+            if shard := self._grams(1, k):
                 count[own], there, at = shard.counts(words[own])
-                plain[own] = np.where(there, shard.more[0][at], 0)
+                plain[own] = np.where(there, shard.plain[at], 0)
         total, mass = model.unigram
         even = 1 / (model.words + 1)
         if not total:
@@ -322,10 +374,12 @@ class Reader:
             context, key = chain(columns[:-1]), chain(columns)
             count = np.zeros(len(places), np.int64)
             seen, mass = np.zeros(len(places)), np.zeros(len(places))
-            for k, own in self._by_shard(context, key):
-                if shard := self._shard(n, k):
+            for k, own in self._by_shard(key):
+                if shard := self._grams(n, k):
                     count[own] = shard.counts(key[own])[0]
-                    contexts, sums, *times = shard.more
+            for k, own in self._by_shard(context):
+                if found_here := self._contexts(n, k):
+                    contexts, sums, *times = found_here
                     at, there = _found(contexts, context[own])
                     seen[own] = np.where(there, sums[at], 0)
                     mass[own] = sum(d * t[at] for d, t in zip(model.levels[n].discounts, times)) * there
