@@ -26,6 +26,8 @@ from recordloom.llm.text import buffers, lower, rows_that, slices, utf8
 
 #: Features: hashed byte n-grams of these lengths in so many columns.
 LENGTHS, COLUMNS = (1, 2, 3), 1 << 14
+#: Bytes of text worked on at once: every byte becomes a row of weights.
+SLICE_BYTES = 512 << 10
 #: The sample that is learned from: rows of each language, and their longest text in bytes.
 SAMPLE_ROWS, SAMPLE_LONGEST = 300, 20_000
 #: Ridge penalty of the classifiers, relative to the features' mean square.
@@ -177,7 +179,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], object)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             best, score, ambiguous = judged(batch.column("text"), model)
             columns = [pa.array(names[best], pa.string()), pa.array(score), pa.array(ambiguous)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "ambiguous"])
@@ -197,4 +199,4 @@ def judged(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose text has a language that is not ambiguous, with their columns."""
-    return rows_that(docs, lambda texts: ~judged(texts, model)[2])
+    return rows_that(docs, lambda texts: ~judged(texts, model)[2], SLICE_BYTES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text worked on at once; a longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -20,35 +22,58 @@ _BYTE_CODES = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint6
 _powers = {m: np.ones(1, np.uint64) for m in (_MULTIPLIER, _INVERSE)}
 
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: arrays of a MB and more are mapped, and unmapped when freed
+except (OSError, AttributeError):
+    _libc = None
+
+
+def return_freed_memory() -> None:
+    """Give back to the system what a task has freed: workers live on, and hold it otherwise."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):
+        _libc.malloc_trim(0)
+
+
 def utf8(column: str | Column) -> Column:
     """The text's bytes, empty for null; workers need not decode them."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The rows in slices of at most SLICE_BYTES of ``column``, one row at least."""
+def slices(
+    batches: Iterator[pa.RecordBatch],
+    column: str | Callable[[pa.RecordBatch], pa.Array],
+    limit: int = SLICE_BYTES,
+) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of at most ``limit`` bytes of a text column, one row at least."""
+    of = column if callable(column) else lambda batch: batch.column(column)
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(of(batch)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             used = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, used + SLICE_BYTES, side="right")))
+            to = max(at + 1, int(np.searchsorted(ends, used + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    return_freed_memory()
 
 
-def rows_that(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+def rows_that(docs: DataFrame, judge: Callable[[pa.Array], np.ndarray], limit: int = SLICE_BYTES) -> DataFrame:
     """The rows of ``docs``, with all columns, whose text (as UTF-8) the judge accepts; no shuffle."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
 
+    def text(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column("row").field("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "utf8"):
-            accepted = pa.array(judge(batch.column("utf8")))
+        for batch in slices(batches, text, limit):
+            accepted = pa.array(judge(pc.fill_null(text(batch).cast(pa.binary()), b"")))
             yield pa.RecordBatch.from_arrays([batch.column("row").filter(accepted)], ["row"])
 
     schema = StructType([StructField("row", docs.schema)])
-    return docs.select(row.alias("row"), utf8("text").alias("utf8")).mapInArrow(run, schema).select("row.*")
+    return docs.select(row.alias("row")).mapInArrow(run, schema).select("row.*")
 
 
 def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +130,7 @@ def _power(base: int, count: int) -> np.ndarray:
         steps = np.full(count + 1, base, np.uint64)
         steps[0] = 1
         known = np.cumprod(steps, dtype=np.uint64)
-        if count <= 2 * SLICE_BYTES:
+        if count <= SLICE_BYTES + 1024:
             _powers[base] = known
     return known[: count + 1]
 

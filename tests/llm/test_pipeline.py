@@ -29,6 +29,7 @@ def texts(frame):
 def test_columns(steps):
     for frame in steps[:-1]:
         assert frame.columns == steps[0].columns
+        assert frame.where("n_chars <> length(text)").count() == 0
 
 
 def test_language_id_keeps_clean_documents(steps):
