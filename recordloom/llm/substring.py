@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.folders import table
-from recordloom.llm.text import Words, buffers, mix, ngrams, slices, span_hashes, utf8, whole
+from recordloom.llm.text import Words, buffers, mix, ngrams, return_freed_memory, slices, span_hashes, utf8, whole
 from recordloom.sources.scratch import scratch_path
 
 #: Suffixes of a group of prefixes, and hashes of a part of the filter.
 GROUP, FILTER_PART = 700_000, 2_000_000
-#: Bytes of text in a slice, and of a group's text that are worked on at once.
-SLICE_BYTES, BLOCK = 4 << 20, 1 << 20
+#: Bytes of text in a slice.
+SLICE_BYTES = 4 << 20
 #: Bits of a window's hash that the filter compares, besides those that choose its part.
 FILTER_BITS = 32
 #: A slice reports prefixes that at least this share of a group's suffixes have in it.
@@ -311,17 +311,14 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
     for the distinct words of the group.
     """
     owner = np.concatenate(owners)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    stop = np.flatnonzero(data == 10)
-    start = np.concatenate([[0], stop[:-1] + 1])
-    first, leaf = _distinct(data, start, stop)
-    least = np.full(len(first), LAST)
+    lines = b"".join(texts).split(b"\n")
+    lines.pop()
+    leaf, distinct = _numbered(lines)
+    least = np.full(len(distinct), LAST)
     np.minimum.at(least, leaf, owner)
-    lines = [data[a : b + 1].tobytes() for a, b in zip(start[first].tolist(), stop[first].tolist())]
-    word_start, word_stop, text = _words(b"".join(lines))
-    number = _distinct(text, word_start, word_stop)[1].reshape(-1, window)
-    at = np.arange(len(first))
-    node = np.zeros(len(first), np.int64)
+    number = _numbered(b" ".join(distinct).split())[0].reshape(-1, window)
+    at = np.arange(len(distinct))
+    node = np.zeros(len(distinct), np.int64)
     for level in range(window):
         if not len(at):
             break
@@ -338,55 +335,11 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
     return owner > least[leaf]
 
 
-def _blocks(ends: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(from, to) of items that end at ``ends``, so many that a block has about BLOCK bytes."""
-    at = 0
-    while at < len(ends):
-        used = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, used + BLOCK, side="right")))
-        yield at, to
-        at = to
-
-
-def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of lines of text, in blocks of lines, and the text's bytes."""
-    data = np.frombuffer(text, np.uint8)
-    ends = np.flatnonzero(data == 10) + 1
-    starts, stops = [], []
-    for a, b in _blocks(ends):
-        low, high = int(ends[a - 1]) if a else 0, int(ends[b - 1])
-        words = Words(data[low:high], np.array([0, high - low]))
-        starts.append(words.start + low)
-        stops.append(words.end + low)
-    return np.concatenate(starts), np.concatenate(stops), data
-
-
-def _distinct(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the distinct byte spans, and for each span the number of its like among them.
-
-    Spans come in order. Hashes find the likes, bytes decide; both in blocks.
-    """
-    spans = []
-    for a, b in _blocks(stop):
-        low, high = int(start[a]), int(stop[b - 1])
-        spans.append(span_hashes(data[low:high], start[a:b] - low, stop[a:b] - low))
-    _, first, of = np.unique(np.concatenate(spans), return_index=True, return_inverse=True)
-    del spans
-    more, exact = [], {}
-    for a, b in _blocks(stop):
-        size, like = stop[a:b] - start[a:b], first[of[a:b]]
-        other = size != stop[like] - start[like]
-        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        here = data[np.repeat(start[a:b], size) + place]
-        there = data[np.minimum(np.repeat(start[like], size) + place, len(data) - 1)]
-        other[np.repeat(np.arange(len(size)), size)[here != there]] = True
-        for k in (np.flatnonzero(other) + a).tolist():  # equal hashes of different bytes
-            raw = data[start[k] : stop[k]].tobytes()
-            if raw not in exact:
-                exact[raw] = len(first) + len(more)
-                more.append(k)
-            of[k] = exact[raw]
-    return np.concatenate([first, np.array(more, np.int64)]), of
+def _numbered(items: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """A number for each item, the same for equal ones, and the distinct items by number."""
+    numbers: dict[bytes, int] = {}
+    of = np.fromiter((numbers.setdefault(item, len(numbers)) for item in items), np.int64, len(items))
+    return of, list(numbers)
 
 
 def _removed(found: Slice, smaller: np.ndarray) -> np.ndarray:
@@ -419,6 +372,7 @@ def _with_answers(docs: DataFrame, window: int, id_column: str) -> tuple[DataFra
                 for group, own, at in _suffixes(found, marks, parts, split, groups):
                     raw = len(own).to_bytes(8, "little") + found.least[own].tobytes() + _stretches(found, at)
                     yield _piece(group, number, _press(raw))
+                return_freed_memory()
 
     suffixes = known.mapInArrow(sent, PIECE_SQL)
 
@@ -438,6 +392,7 @@ def _with_answers(docs: DataFrame, window: int, id_column: str) -> tuple[DataFra
         ends = np.cumsum([len(o) for o in owners])
         for number, own in zip(numbers, np.split(smaller, ends[:-1])):
             yield _piece(group, number, np.packbits(own).tobytes())
+        return_freed_memory()
 
     answers = suffixes.repartitionById(groups, F.col("part")).mapInArrow(answered, PIECE_SQL)
     answers = answers.groupBy("slice").agg(F.collect_list(F.struct("part", "payload")).alias("answers"))
@@ -461,6 +416,7 @@ def _judged(docs: DataFrame, window: int, id_column: str, make, schema) -> DataF
                         marked = np.unpackbits(np.frombuffer(payloads[group], np.uint8), count=len(own)).astype(bool)
                         smaller[own] = marked
                 yield make(found, _removed(found, smaller))
+                return_freed_memory()
 
     return joined.mapInArrow(run, schema)
 

@@ -109,18 +109,6 @@ def test_substrings_in_small_groups(spark, monkeypatch):
     check_substrings(frame, pairs, 4)
 
 
-def test_equal_hashes_of_different_words_are_told_apart(monkeypatch):
-    monkeypatch.setattr(substring, "span_hashes", lambda data, start, end: (end - start).astype(np.uint64))
-    monkeypatch.setattr(substring, "BLOCK", 8)
-    start, stop, data = substring._words(b"ab cd ab x\ncd x ab yy\n")
-    first, numbers = substring._distinct(data, start, stop)
-    words = "ab cd ab x cd x ab yy".split()
-    assert [data[a:b].tobytes().decode() for a, b in zip(start, stop)] == words
-    assert sorted(words[k] for k in first) == sorted(set(words))
-    for i in range(8):
-        assert words[first[numbers[i]]] == words[i]
-
-
 TEMPLATE_DOCS = [
     (k, f"User {k} logged in from host h{k % 3}\nunique words of document number {'abcdefghijkl'[k]} only\n"
      + ("one two three four five six seven eight\n" if k % 2 else "one two three four five six seven nine\n")
