@@ -15,6 +15,15 @@ from recordloom.llm.queries import BITS, END_ID, SHINGLE, WINDOW, vocabulary
 
 #: Tokens of a sequence.
 CAPACITY = 1024
+#: Pieces of text whose ids a worker keeps: few, as workers go on to other stages.
+KEPT_PIECES = 50_000
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the texts as they are now."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates stay in the first of their documents."""
-    return line_templates.drop_recurring(docs)
+    return counted(line_templates.drop_recurring(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +46,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that a document with a smaller id has are cut out."""
     ship_package(spark)
-    return substring.drop_repeats(docs, WINDOW)
+    return counted(substring.drop_repeats(docs, WINDOW))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces with their sequence and place."""
     ship_package(spark)
-    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), END_ID, CAPACITY)
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), END_ID, CAPACITY, kept=KEPT_PIECES)
 
 
 STAGES = [

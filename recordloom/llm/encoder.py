@@ -58,16 +58,21 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         parts = [pieces[at : at + TOGETHER] for at in range(0, len(pieces), TOGETHER)]
-        joined = ["\n".join(part) for part in parts]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.newline[0])
-            if len(cuts) != len(part) - 1:
-                raise ValueError("the tokenizer does not keep line breaks apart")
-            raw, at = ids.tobytes(), 0
-            for piece, cut in zip(part, [*(4 * cuts).tolist(), len(raw)]):
-                self.kept[piece] = raw[at:cut]
-                at = cut + 4
+        for at in range(0, len(parts), TOGETHER):  # the library's results are large, so not all at once
+            some = parts[at : at + TOGETHER]
+            joined = ["\n".join(part) for part in some]
+            for part, found in zip(some, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+                self._keep(part, np.array(found.ids, "<u4"))
+
+    def _keep(self, pieces: list[str], ids: np.ndarray) -> None:
+        """The ids of each of the pieces, which were encoded as lines of one text."""
+        cuts = np.flatnonzero(ids == self.newline[0])
+        if len(cuts) != len(pieces) - 1:
+            raise ValueError("the tokenizer does not keep line breaks apart")
+        raw, at = ids.tobytes(), 0
+        for piece, cut in zip(pieces, [*(4 * cuts).tolist(), len(raw)]):
+            self.kept[piece] = raw[at:cut]
+            at = cut + 4
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens."""
