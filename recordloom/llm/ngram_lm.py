@@ -1,7 +1,8 @@
 """An interpolated modified Kneser-Ney model, counted in Spark and mapped by workers.
 
-Words are 64-bit hashes. Tasks count the n-grams of their texts and send them, sorted and
-compressed, to the shard of their hash; there the counts are added. Each distinct n-gram
+Words are 64-bit hashes. Tasks count the n-grams of their texts and send them to the shard
+of their hash, as sorted places in a list of the words of what is sent; there the counts
+are added. Each distinct n-gram
 adds one to the continuation count of its shorter one, which goes on to the next order's
 shards, and counts for its context, whose sums are added in shards of their own: so the
 followers of a frequent word lie in many shards, and its sums are one row from each.
@@ -69,13 +70,13 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
 
 
 def added(columns: list[np.ndarray], adjusted: np.ndarray, raw: np.ndarray):
-    """One row for each distinct n-gram, sorted by context and word, with its counts added."""
-    context = chain(columns[:-1]) if len(columns) > 1 else np.zeros(len(columns[0]), np.uint64)
-    order = np.lexsort((columns[-1], context))
-    context, last = context[order], columns[-1][order]
+    """One row for each distinct n-gram, sorted by its hash, with its counts added."""
+    key = chain(columns)
+    order = np.argsort(key)
     if not len(order):
         return columns, adjusted, raw
-    first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (last[1:] != last[:-1])]))
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     return (
         [c[order[first]] for c in columns],
         np.add.reduceat(adjusted[order], first),
@@ -83,30 +84,77 @@ def added(columns: list[np.ndarray], adjusted: np.ndarray, raw: np.ndarray):
     )
 
 
-def _pack(parts: list[np.ndarray]) -> bytes:
-    raw = b"".join(p.astype(np.uint64).tobytes() for p in parts)
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of numbers by their place, so that the high ones, nearly all zero, compress."""
+    return values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
 
+def _pack(parts: list[np.ndarray], words: int) -> bytes:
+    """Arrays, of which the first ``words`` are an n-gram's words, with its rows in any order.
 
-def _unpack(payload: bytes, count: int) -> list[np.ndarray]:
-    return list(np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint64).reshape(count, -1))
+    Words are places in a sorted list of the distinct ones; an n-gram's places are one
+    number where that fits 64 bits, and the numbers are sent sorted, as differences.
+    Without words the first array is sorted and sent as differences.
+    """
+    count, listed, sizes = len(parts[0]), np.zeros(0, np.uint64), 0
+    if words:
+        listed, place = np.unique(np.concatenate(parts[:words]), return_inverse=True)
+        places = place.astype(np.uint64).reshape(words, count)
+        sizes = len(listed)
+        if sizes**words < 1 << 64:
+            code = places[0].copy()
+            for k in range(1, words):
+                code = code * np.uint64(sizes) + places[k]
+            order = np.argsort(code)
+            parts = [np.diff(code[order], prepend=np.uint64(0)), *(p[order] for p in parts[words:])]
+        else:
+            parts = [*places, *parts[words:]]
+    else:
+        parts = [np.diff(parts[0], prepend=np.uint64(0)), *parts[1:]]
+    raw = [np.array([count, sizes], np.uint64).tobytes(), _planes(np.diff(listed, prepend=np.uint64(0)))]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([*raw, *map(_planes, parts)]))
+
+
+def _unpack(payload: bytes, count: int, words: int) -> list[np.ndarray]:
+    """The ``count`` arrays that were packed, their rows in the order they were sent in."""
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    rows, sizes = np.frombuffer(raw, np.uint64, 2).tolist()
+    at = 16
+
+    def taken(size: int) -> np.ndarray:
+        nonlocal at
+        planes = np.frombuffer(raw, np.uint8, 8 * size, at).reshape(8, size)
+        at += 8 * size
+        return planes.T.copy().view(np.uint64).ravel()
+
+    listed = np.cumsum(taken(sizes), dtype=np.uint64)
+    if not words:
+        return [np.cumsum(taken(rows), dtype=np.uint64), *(taken(rows) for _ in range(count - 1))]
+    if sizes**words < 1 << 64:
+        code, columns = np.cumsum(taken(rows), dtype=np.uint64), []
+        for _ in range(words):
+            code, place = np.divmod(code, np.uint64(sizes))
+            columns.insert(0, listed[place])
+    else:
+        columns = [listed[taken(rows)] for _ in range(words)]
+    return [*columns, *(taken(rows) for _ in range(count - words))]
 
 
 GRAMS, CONTEXTS = 0, 1
 
 
-def _dealt(parts: list[np.ndarray], key: np.ndarray, shards: int, kind: int) -> Iterator[pa.RecordBatch]:
+def _dealt(parts: list[np.ndarray], key: np.ndarray, shards: int, kind: int, words: int = 0) -> Iterator[pa.RecordBatch]:
     """A row for each shard with its part of the arrays (in their order, so sorted ones compress)."""
     shard = shard_of(key, shards)
     order = np.argsort(shard, kind="stable")
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     for k in np.flatnonzero(np.diff(cuts)):
         own = order[cuts[k] : cuts[k + 1]]
-        yield _row(shard=int(k), kind=kind, payload=_pack([p[own] for p in parts]))
+        yield _row(shard=int(k), kind=kind, payload=_pack([p[own] for p in parts], words))
 
 
 def _dealt_grams(columns, adjusted, raw, shards: int) -> Iterator[pa.RecordBatch]:
-    yield from _dealt([*columns, adjusted, raw], chain(columns), shards, GRAMS)
+    yield from _dealt([*columns, adjusted, raw], chain(columns), shards, GRAMS, len(columns))
 
 
 ROW = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary()), ("path", pa.string()), ("totals", pa.list_(pa.int64()))])
@@ -146,7 +194,7 @@ def discounts(counts: list[int]) -> tuple[float, float, float]:
     return found if all(0 < d < k + 1 for k, d in enumerate(found)) else (0.5, 1.0, 1.5)
 
 
-def train(docs: DataFrame, order: int = 2) -> Model:
+def train(docs: DataFrame, order: int = 3) -> Model:
     """Count the texts of ``docs`` and store the model in the shared folder."""
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -211,7 +259,7 @@ def _built(sent: DataFrame, n: int, shards: int, folder: str) -> DataFrame:
         for batch in batches:
             for payload in batch.column("payload"):
                 shard = batch.column("shard")[0].as_py()
-                held.append(_unpack(payload.as_py(), n + 2))
+                held.append(_unpack(payload.as_py(), n + 2, n))
                 rows += len(held[-1][0])
                 if rows >= 2 * least + HELD:
                     columns, adjusted, raw = merged()
@@ -233,7 +281,7 @@ def _built(sent: DataFrame, n: int, shards: int, folder: str) -> DataFrame:
 
 def _context_sums(context: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
     """Sorted contexts with the sum of counts, and how many words followed once, twice and more often."""
-    order = np.argsort(context, kind="stable")
+    order = np.argsort(context)
     context, count = context[order], count[order]
     first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
     times = [np.add.reduceat(x, first, dtype=np.uint64) for x in (count == 1, count == 2, count > 2)]
@@ -248,7 +296,7 @@ def _contexts(sent: DataFrame, n: int, shards: int, folder: str) -> DataFrame:
 
         def merged() -> list[np.ndarray]:
             parts = [np.concatenate([h[k] for h in held]) for k in range(5)]
-            order = np.argsort(parts[0], kind="stable")
+            order = np.argsort(parts[0])
             key = parts[0][order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             return [key[first], *(np.add.reduceat(p[order], first) for p in parts[1:])]
@@ -256,14 +304,14 @@ def _contexts(sent: DataFrame, n: int, shards: int, folder: str) -> DataFrame:
         for batch in batches:
             for payload in batch.column("payload"):
                 shard = batch.column("shard")[0].as_py()
-                held.append(_unpack(payload.as_py(), 5))
+                held.append(_unpack(payload.as_py(), 5, 0))
                 rows += len(held[-1][0])
                 if rows >= 2 * least + HELD:
                     held = [merged()]
                     rows = least = len(held[0][0])
         if shard is not None:
             writer = SharedWriter(folder, f"contexts-{n}-{shard:06d}")
-            _write(writer, [part.astype(kind) for part, kind in zip(merged(), CONTEXT_TYPES)])
+            _stored_contexts(writer, *merged())
             yield _row(shard=shard, path=writer.path)
 
     return sent.select("shard", "payload").repartitionById(shards, F.col("shard")).mapInArrow(run, ROW_SQL)
@@ -295,8 +343,16 @@ def _stored(writer: SharedWriter, columns, adjusted, raw) -> list[int]:
     return [*times, int((count > 2).sum()), len(key), int(raw.sum()), int(count.sum())]
 
 
+def _stored_contexts(writer: SharedWriter, key: np.ndarray, *sums: np.ndarray) -> None:
+    """Write a shard's contexts: sorted hashes, sums of one byte, rows with a large one apart."""
+    counts = np.stack(sums, axis=1)
+    large = np.flatnonzero((counts >= LARGE).any(axis=1))
+    small = np.minimum(counts, LARGE).astype(np.uint8)
+    _write(writer, [key, small.ravel(), large.astype(np.uint32), counts[large].ravel()])
+
+
 GRAM_TYPES = (np.uint64, np.uint8, np.uint32, np.uint64, np.uint64)
-CONTEXT_TYPES = (np.uint64, np.uint64, np.uint64, np.uint64, np.uint64)
+CONTEXT_TYPES = (np.uint64, np.uint8, np.uint32, np.uint64)
 
 
 def _arrays(path: str, kinds: tuple) -> list[np.ndarray]:
@@ -324,6 +380,22 @@ class Shard:
         return count, there, at
 
 
+class Contexts:
+    """A shard's contexts."""
+
+    def __init__(self, path: str):
+        self.key, small, self.large, large_sums = _arrays(path, CONTEXT_TYPES)
+        self.small, self.large_sums = small.reshape(-1, 4), large_sums.reshape(-1, 4)
+
+    def sums(self, keys: np.ndarray) -> np.ndarray:
+        """A row for each key (sorted): its sum of counts, and how many words followed once, twice and more often."""
+        at, there = _found(self.key, keys)
+        sums = self.small[at].astype(np.int64) * there[:, None]
+        big = np.flatnonzero((sums >= LARGE).any(axis=1))
+        sums[big] = self.large_sums[np.searchsorted(self.large, at[big])]
+        return sums
+
+
 def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return at, keys[at] == wanted
@@ -334,7 +406,7 @@ class Reader:
 
     def __init__(self, model: Model):
         self.model = model
-        self._open: dict[str, Shard | list[np.ndarray]] = {}
+        self._open: dict[str, Shard | Contexts] = {}
 
     def _file(self, path: str | None, opened):
         if path is not None and path not in self._open:
@@ -344,13 +416,16 @@ class Reader:
     def _grams(self, n: int, k: int) -> Shard | None:
         return self._file(self.model.levels[n].paths[k], Shard)
 
-    def _contexts(self, n: int, k: int) -> list[np.ndarray] | None:
-        return self._file(self.model.levels[n].contexts[k], lambda path: _arrays(path, CONTEXT_TYPES))
+    def _contexts(self, n: int, k: int) -> Contexts | None:
+        return self._file(self.model.levels[n].contexts[k], Contexts)
 
     def _by_shard(self, keys: np.ndarray):
         """(shard, places of its keys in sorted order) for all keys."""
         shard = shard_of(keys, self.model.shards)
-        order = np.lexsort((keys, shard))
+        if self.model.shards <= 1 << 16:
+            shard = shard.astype(np.uint16)  # which numpy sorts by counting
+        order = np.argsort(keys)
+        order = order[np.argsort(shard[order], kind="stable")]
         cuts = np.searchsorted(shard[order], np.arange(self.model.shards + 1))
         for k in np.flatnonzero(np.diff(cuts)):
             yield int(k), order[cuts[k] : cuts[k + 1]]
@@ -378,11 +453,10 @@ class Reader:
                 if shard := self._grams(n, k):
                     count[own] = shard.counts(key[own])[0]
             for k, own in self._by_shard(context):
-                if found_here := self._contexts(n, k):
-                    contexts, sums, *times = found_here
-                    at, there = _found(contexts, context[own])
-                    seen[own] = np.where(there, sums[at], 0)
-                    mass[own] = sum(d * t[at] for d, t in zip(model.levels[n].discounts, times)) * there
+                if contexts := self._contexts(n, k):
+                    sums = contexts.sums(context[own])
+                    seen[own] = sums[:, 0]
+                    mass[own] = sums[:, 1:] @ np.array(model.levels[n].discounts)
             rest = np.maximum(seen, 1)
             found = np.where(seen > 0, (self._less(count, n) + mass * found) / rest, found)
         return found, plain

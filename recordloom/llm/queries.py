@@ -26,7 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 END_ID = 2
 
 #: Words of the language model's longest n-gram.
-ORDER = 2
+ORDER = 3
 
 #: Substring dedup: words of a window.
 WINDOW = 13

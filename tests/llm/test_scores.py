@@ -207,3 +207,25 @@ def test_queries_with_sql(spark, name):
     assert len(found) == len(expected)
     for a, b in zip(sorted(found, key=str), sorted(expected, key=str)):
         assert all(math.isclose(x, y) if isinstance(x, float) else x == y for x, y in zip(a, b)), (a, b)
+
+
+def test_registered_language_model_has_order_three(spark):
+    docs = [tuple(r) for r in queries.documents(spark, SF_DIR).select("doc_id", "text").collect()]
+    held_out = {i: t for i, t in docs if i is not None and zlib.crc32(str(i).encode()) % 7 == 2}
+    plain = PlainModel([t for i, t in docs if i not in held_out], 3)
+    found = {r["doc_id"]: r["score"] for r in queries.op1_ngram_lm(spark, SF_DIR).where("held_out").collect()}
+    for i in sorted(held_out, key=lambda i: len(held_out[i] or ""))[:5]:
+        padded = ["<", "<", *tokens_of(held_out[i])]
+        score = sum(math.log10(plain.probability(tuple(padded[k - 2 : k + 1]))) for k in range(2, len(padded)))
+        assert math.isclose(found[i], score, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("words", [0, 1, 2, 3, 9])
+def test_packed_counts_come_back(words):
+    rng = np.random.default_rng(words)
+    listed = rng.integers(0, 2**64, 200, np.uint64)  # 9 places of 200 exceed 64 bits
+    for rows in (1, 500):
+        columns = [rng.choice(listed, rows) for _ in range(words)] or [np.sort(rng.integers(0, 2**64, rows, np.uint64))]
+        parts = [*columns, rng.integers(1, 2**40, rows, np.uint64), np.ones(rows, np.uint64)]
+        back = ngram_lm._unpack(ngram_lm._pack(parts, words), len(parts), words)
+        assert sorted(zip(*map(np.ndarray.tolist, back))) == sorted(zip(*map(np.ndarray.tolist, parts)))
