@@ -13,7 +13,9 @@ so the nodes at this depth with leaves of several documents are the repeats.
 3. The remaining suffixes go, with their words, to the group of their prefix. A prefix is
    one word where few suffixes share it and longer where many do: prefixes that a group
    could not hold are known from counts of frequent prefixes, and are extended word by
-   word. Copies within a slice are sent once.
+   word. A slice leaves a prefix out of its counts below its own part, by windows, of
+   what all may leave out, so none of more than ``(FREQUENT + 1 / 2) * GROUP`` suffixes is
+   missed, however many slices share it. Copies within a slice are sent once.
 4. Each group builds its trees level by level, splitting the nodes by the next word and
    ending those with one leaf, and compares the words themselves. It answers each slice
    with one bit for each suffix: does a document with a smaller id have it?
@@ -46,8 +48,8 @@ GROUP, FILTER_PART = 700_000, 2_000_000
 SLICE_BYTES = 4 << 20
 #: Bits of a window's hash that the filter compares, besides those that choose its part.
 FILTER_BITS = 32
-#: A slice reports prefixes that at least this share of a group's suffixes have in it.
-FREQUENT = 0.002
+#: Share of a group's suffixes that all slices together may leave out of a prefix's count.
+FREQUENT = 0.25
 LAST = np.int64(2**63 - 1)
 
 def _press(raw: bytes) -> bytes:
@@ -172,7 +174,7 @@ def _prefix(hashes: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
 def _filter(stored: DataFrame, window: int, windows: int) -> tuple[DataFrame, DataFrame]:
     """(slice, bits of its distinct windows that may repeat), and frequent prefixes."""
     parts = max(1, -(-windows // FILTER_PART))
-    least = max(2.0, FREQUENT * GROUP)
+    left_out = FREQUENT * GROUP / max(1, windows)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +190,7 @@ def _filter(stored: DataFrame, window: int, windows: int) -> tuple[DataFrame, Da
                     # the bytes of the differences apart: the high ones are nearly all zero
                     planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
                     yield _piece(int(part), number, _press(len(codes).to_bytes(8, "little") + flags + planes))
-                prefixes, times = _frequent(found, least)
+                prefixes, times = _frequent(found, left_out * len(found.starts))
                 if len(prefixes):
                     both = prefixes.tobytes() + times.astype(np.int64).tobytes()
                     yield _piece(-1, number, both, PREFIXES)

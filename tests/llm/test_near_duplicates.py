@@ -109,6 +109,21 @@ def test_substrings_in_small_groups(spark, monkeypatch):
     check_substrings(frame, pairs, 4)
 
 
+def test_prefixes_are_split_that_every_slice_has_once(spark, monkeypatch):
+    monkeypatch.setattr(substring, "GROUP", 40)
+    monkeypatch.setattr(substring, "SLICE_BYTES", 1)
+    pairs = [(i, f"hot {'and' if i % 3 else 'or'} w{i % 50} x{i % 50}") for i in range(150)]
+    frame = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    stored, windows, _ = substring._sliced(frame, 4, "doc_id")
+    assert stored.count() == windows == len(pairs)
+    split = substring._split_prefixes(substring._filter(stored, 4, windows)[1])
+    for row in stored.select("rows").collect():
+        found = substring.Slice(row["rows"], 4)
+        hot = [substring._prefix(found.hashes, found.starts, level)[0] for level in (1, 2, 3)]
+        assert substring._member(split, np.array(hot, np.uint64)).tolist() == [True, True, False]
+    check_substrings(frame, pairs, 4)
+
+
 TEMPLATE_DOCS = [
     (k, f"User {k} logged in from host h{k % 3}\nunique words of document number {'abcdefghijkl'[k]} only\n"
      + ("one two three four five six seven eight\n" if k % 2 else "one two three four five six seven nine\n")
