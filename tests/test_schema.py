@@ -78,3 +78,27 @@ def test_names_are_unique_as_in_a_schema(spark):
         expected = build_schema([{"fieldName": n} for n in names_in]).names
         assert [r["out"] for r in out.orderBy("at").collect()] == expected
         assert len({n.lower() for n in expected}) == len(expected)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_names_with_taken_numbers_are_unique_as_in_a_schema(spark, seed):
+    rng = random.Random(seed)
+    numbers = ["", "", "", "_1", "_2", "_3", "_7", "_01", "_0", "_1_1", "_2_1", "_1_1_1", "_1_01", "_99999999999999999999"]
+    names_in = [rng.choice("aAb") + rng.choice(numbers[: 8 if seed else None]) for _ in range(250)]
+    names_in += [f"c_{n}" for n in rng.sample(range(1, 60), 40)] + ["c"] * 30 + [f"c_{n}" for n in range(1, 80)]
+    df = spark.createDataFrame(list(enumerate(names_in)), "at int, name string").repartition(4)
+    found = [r["out"] for r in dedup_names(df, "name", "at", "out", span=10).orderBy("at").collect()]
+    assert found == build_schema([{"fieldName": n} for n in names_in]).names
+
+
+def test_rows_of_a_name_with_a_collision_go_to_many_tasks(spark):
+    df = spark.range(40_000).select(F.col("id").alias("at"), F.when(F.col("id") == 7, "a_1").otherwise("a").alias("name"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which puts small partitions into one task
+    try:
+        out = dedup_names(df, "name", "at", "out", span=500)
+        tasks = out.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 20_000
+    assert out.select("out").distinct().count() == 40_000
