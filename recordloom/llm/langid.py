@@ -28,8 +28,10 @@ from recordloom.llm.text import buffers, lower, rows_that, slices, utf8
 LENGTHS, COLUMNS = (1, 2, 3), 1 << 14
 #: Bytes of text worked on at once: every byte becomes a row of weights.
 SLICE_BYTES = 512 << 10
-#: The sample that is learned from: rows of each language, and their longest text in bytes.
+#: The sample that is learned from: rows of each language, and the most bytes of a text.
 SAMPLE_ROWS, SAMPLE_LONGEST = 300, 20_000
+#: Spans that are taken of a longer text, one in each of so many equal parts.
+SPANS = 20
 #: Ridge penalty of the classifiers, relative to the features' mean square.
 PENALTY = 1e-2
 #: A text is ambiguous if the two nearest codewords' losses differ by less than this share.
@@ -116,12 +118,12 @@ def fit(texts: list[bytes], labels: list[str]) -> Model:
 def train(docs: DataFrame, learn: Column) -> Model:
     """A model from at most ``SAMPLE_ROWS`` rows of each ``lang`` among the rows with ``learn``.
 
-    Which rows depends on a hash of ``doc_id``. Only counts and the sample reach the
-    driver; its size is bounded by the rows, their longest text and the languages.
+    Which rows depends on a hash of ``doc_id``, and so does where the spans of a long text
+    lie. Only counts and the sample reach the driver; its size is bounded by the rows, the
+    bytes taken of a text and the languages.
     """
-    fits = F.octet_length("text").between(1, SAMPLE_LONGEST)
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    rows = rows.where(fits).select("doc_id", "lang", "text")
+    rows = rows.where(F.octet_length("text") > 0).select("doc_id", "lang", _sampled("text").alias("text"))
     counts = {row.lang: row.n for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return fit([], [])
@@ -131,7 +133,16 @@ def train(docs: DataFrame, learn: Column) -> Model:
     some = rows.where(draw < least[F.col("lang")] * (1 << 30)).withColumn("draw", draw)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
     sample = some.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).orderBy("lang", "rank").collect()
-    return fit([row.text.encode() for row in sample], [row.lang for row in sample])
+    return fit([bytes(row.text) for row in sample], [row.lang for row in sample])
+
+
+def _sampled(text: str) -> Column:
+    """The text's bytes; of a long one, spans from the whole of it."""
+    raw, size = F.col(text).cast("binary"), F.octet_length(text).cast("long")
+    span, part = SAMPLE_LONGEST // SPANS, F.floor(size / SPANS)
+    starts = [part * k + F.pmod(F.xxhash64("doc_id", F.lit(k)), part - span + 1) for k in range(SPANS)]
+    spans = F.concat(*(F.substring(raw, (start + 1).cast("int"), F.lit(span)) for start in starts))
+    return F.when(size <= SAMPLE_LONGEST, raw).otherwise(spans)
 
 
 def _has_letter(data: np.ndarray, offsets: np.ndarray, texts: pa.Array) -> np.ndarray:
@@ -198,5 +209,10 @@ def judged(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` whose text has a language that is not ambiguous, with their columns."""
+    """The rows of ``docs`` whose text has a language that is not ambiguous, with their columns.
+
+    Where no language was learned, all whose text has a letter.
+    """
+    if not model.languages:
+        return rows_that(docs, lambda texts: _has_letter(*buffers(texts), texts), SLICE_BYTES)
     return rows_that(docs, lambda texts: ~judged(texts, model)[2], SLICE_BYTES)

@@ -229,3 +229,23 @@ def test_packed_counts_come_back(words):
         parts = [*columns, rng.integers(1, 2**40, rows, np.uint64), np.ones(rows, np.uint64)]
         back = ngram_lm._unpack(ngram_lm._pack(parts, words), len(parts), words)
         assert sorted(zip(*map(np.ndarray.tolist, back))) == sorted(zip(*map(np.ndarray.tolist, parts)))
+
+
+def test_languages_are_learned_from_long_texts(spark):
+    long = {"en": "the quick brown fox and the lazy dog ", "de": "der schnelle braune Fuchs und der faule Hund "}
+    rows = [(2 * i + k, "0 " * 15_000 + text * 800, lang) for i in range(6) for k, (lang, text) in enumerate(long.items())]
+    rows += [(100 + i, text, None) for i, text in enumerate(long.values())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(frame, F.lit(True))
+    assert model.languages == ["de", "en"]
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame, model).collect()}
+    assert found[100] == "en" and found[101] == "de"
+    taken = frame.select(F.octet_length(langid._sampled("text")).alias("n"), langid._sampled("text").alias("t")).where("doc_id < 100")
+    assert all(r["n"] == langid.SAMPLE_LONGEST and b"0 0" in r["t"] and b"u" in r["t"] for r in taken.collect())
+
+
+def test_texts_with_letters_stay_where_no_language_was_learned(docs, rows):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = langid.keep(unlabelled, langid.train(unlabelled, F.lit(True)))
+    letters = [str(i) for i, t, _ in rows if any(c.isalpha() for c in t or "")]
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(letters)
