@@ -674,7 +674,8 @@ def registration_documents(spark: SparkSession, sf_dir: str) -> str:
         .when(n % 67 == 0, F.concat(F.lit('{"n": '), n_text, F.lit("}")))
         .otherwise(json_cells(*row))
     )
-    return documents_once(sf_dir, "registrations", lines.select(record), REGISTRATION_COLUMNS)
+    records = lines.select(record, "l_orderkey", "n")
+    return documents_once(sf_dir, "registrations", records, REGISTRATION_COLUMNS, "l_orderkey", "n")
 
 
 def registrations(spark: SparkSession, sf_dir: str, **options) -> Curation:
@@ -760,9 +761,15 @@ def curation_duplicates(spark, sf_dir):
     return registrations(spark, sf_dir).duplicates()
 
 
-# The documents hold the line items in the table's order, 99,998 to a document.
+# The orders are dealt to as many documents as 99,998 records each make; a document's
+# records stand by the line items' numbers and their own text.
 REJECTS_SQL = """
-SELECT CASE WHEN n % 53 = 0 THEN 'too short' WHEN n % 59 = 0 THEN 'too long'
+SELECT reason, raw, position FROM (
+SELECT n, reason, raw,
+       row_number() OVER (PARTITION BY l_orderkey % documents ORDER BY n, raw) - 1 AS position FROM (
+SELECT n, l_orderkey,
+       (SELECT greatest(1, ceil(count(*) / 99998.0))::BIGINT FROM lineitem) AS documents,
+       CASE WHEN n % 53 = 0 THEN 'too short' WHEN n % 59 = 0 THEN 'too long'
             WHEN n % 61 = 0 THEN 'null record' ELSE 'not an array' END AS reason,
        CASE WHEN n % 53 = 0 THEN '["row-' || n || '",' || vin || ',' || county || ']'
             WHEN n % 59 = 0 THEN '["row-' || n || '",' || vin || ',' || county || ',"' || l_linestatus || ']\\"",'
@@ -786,16 +793,15 @@ SELECT CASE WHEN n % 53 = 0 THEN 'too short' WHEN n % 59 = 0 THEN 'too long'
                                 ELSE '"' || shipped || '"' END
                  || ',"unnamed","second","extra"]'
             WHEN n % 61 = 0 THEN 'null'
-            ELSE '{"n":' || n || '}' END AS raw,
-       (row - 1) % 99998 AS position
-FROM (SELECT *, l_orderkey * 10 + l_linenumber AS n, row_number() OVER () AS row,
+            ELSE '{"n":' || n || '}' END AS raw
+FROM (SELECT *, l_orderkey * 10 + l_linenumber AS n,
              CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
              CAST(2000 + (l_orderkey * 10 + l_linenumber) % 30 AS VARCHAR) AS year,
              CASE WHEN (l_orderkey * 10 + l_linenumber) % 17 <> 0
                   THEN '"  V' || (l_orderkey * 10 + l_linenumber) || ' "' ELSE 'null' END AS vin,
              '" ' || l_returnflag || '\\t "' AS county,
              strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS shipped
-      FROM lineitem)
+      FROM lineitem)))
 WHERE n % 53 = 0 OR n % 59 = 0 OR n % 61 = 0 OR n % 67 = 0
 """
 
