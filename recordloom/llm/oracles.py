@@ -130,9 +130,34 @@ SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(places),
 FROM d LEFT JOIN dropped USING (doc_id)
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS vec_id,
+         list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same)
+  WHERE place <= 5)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.*, n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n
+    ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score)
+WHERE rank <= 3
+"""
+
 ORACLES = {
     "op3_exact_top_k": TOP_K,
     "op4_substring_dedup": SUBSTRINGS,
     "op6_repetition": REPETITION,
     "op7_line_templates": LINES,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -14,7 +14,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, knn, langid, line_templates, ngram_lm, packing, repetition, simhash, substring, token_store
+from recordloom.llm import (
+    bpe,
+    hard_negatives,
+    knn,
+    langid,
+    line_templates,
+    ngram_lm,
+    packing,
+    repetition,
+    simhash,
+    substring,
+    token_store,
+)
 from recordloom.llm.folders import ship_package
 from recordloom.llm.oracles import ORACLES
 
@@ -138,3 +150,14 @@ def op10_language_id(spark, sf_dir):
     model = langid.train(docs, ~remainder_is_2(4))
     found = langid.identify(docs, model)
     return found.select("doc_id", remainder_is_2(4).alias("held_out"), *found.columns[1:])
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """The hardest rows of other labels for every fiftieth vector and each of its 5 positives."""
+    ship_package(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = vectors.select("vec_id", noisy.alias("label"), knn.quantized(F.col("embedding"), 256).alias("vector"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
