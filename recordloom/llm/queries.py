@@ -22,6 +22,7 @@ from recordloom.llm import (
     line_templates,
     ngram_lm,
     packing,
+    pieces,
     repetition,
     simhash,
     substring,
@@ -161,3 +162,12 @@ def op13_hard_negatives(spark, sf_dir):
     noisy = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     vectors = vectors.select("vec_id", noisy.alias("label"), knn.quantized(F.col("embedding"), 256).alias("vector"))
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op12_pieces(spark, sf_dir):
+    """Ids of a byte-pair model with spaces as symbols, and the text they decode to."""
+    import public_tokenizers
+
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return pieces.digests(documents(spark, sf_dir), model)
