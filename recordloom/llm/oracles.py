@@ -154,10 +154,92 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 WHERE rank <= 3
 """
 
+
+def _least(*edits: str) -> str:
+    return f"list_min([{', '.join(edits)}])"
+
+
+def _edit(letter: str, cost: str, rest: str, said: str = "") -> str:
+    """One edit before the rest: cost, audit, and what is said; structs compare field by field."""
+    spoken = f"list_prepend({said}, {rest}.r)" if said else f"{rest}.r"
+    return f"{{'c': {rest}.c + {cost}, 'a': '{letter}' || {rest}.a, 'r': {spoken}}}"
+
+
+def _row(state: str, follows: str, role: str) -> str:
+    """What can be done with a row after ``state``, where the turn ``follows`` is next."""
+    kept = [(follows, role[0])] + ([("system", "s")] if state == "start" else [])
+    keeps = (f"CASE WHEN NOT gone AND left(role, 1) = '{x}' THEN {_edit('K', 'extra', to, 'said')} END" for to, x in kept)
+    renamed = f"CASE WHEN NOT gone THEN {_edit('R', '3 + extra', follows, f"'{role}:' || text")} END"
+    return _least(_edit("D", "4", state), *keeps, renamed)
+
+
+_AFTER_USER = _least("b_user", _edit("I", "3", "b_assistant", "'assistant:'"))
+_AFTER_ASSISTANT = _least("b_assistant", _edit("I", "3", "b_user", "'user:'"))
+
+# The best continuation from each state, from the last row of a conversation to the first.
+CONVERSATIONS = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations),
+fated AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(key, ''), lambda x: unicode(x)::BIGINT),
+                lambda c, b: list_reduce(range(8), lambda d, k: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)),
+                4294967295::BIGINT), 4294967295) % 20 AS fate
+  FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM damaged),
+faulty AS (
+  SELECT *, role || ':' || text AS said,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM ordered),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+best AS (
+  SELECT conv_id, n + 1 AS i, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS start,
+         {{'c': 6::BIGINT, 'a': 'II', 'r': ['user:', 'assistant:']}} AS system,
+         {{'c': 3::BIGINT, 'a': 'I', 'r': ['assistant:']}} AS user,
+         {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS assistant
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i, {_least("b_start", _edit("I", "3", "a_user", "'user:'"))},
+         {_least("b_system", _edit("I", "3", "a_user", "'user:'"))}, a_user, {_AFTER_ASSISTANT}
+  FROM (
+    SELECT *, {_AFTER_USER} AS a_user FROM (
+      SELECT conv_id, i, {_row("start", "user", "user")} AS b_start, {_row("system", "user", "user")} AS b_system,
+             {_row("user", "assistant", "assistant")} AS b_user, {_row("assistant", "user", "user")} AS b_assistant
+      FROM (
+        SELECT f.conv_id, f.i, f.role, f.text, f.said, start, system, user, assistant,
+               coalesce(f.fault IN ('blank', 'duplicate'), FALSE) AS gone,
+               CASE WHEN f.fault = 'truncated' THEN 3 ELSE 0 END AS extra
+        FROM best JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM best.conv_id AND f.i = best.i - 1)))),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(start.c, 0)::BIGINT AS cost, coalesce(start.a, '') AS audit,
+       sha256(coalesce(array_to_string(start.r, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN (SELECT * FROM best WHERE i = 1) b ON b.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
 ORACLES = {
     "op3_exact_top_k": TOP_K,
     "op4_substring_dedup": SUBSTRINGS,
     "op6_repetition": REPETITION,
     "op7_line_templates": LINES,
+    "op11_conversations": CONVERSATIONS,
     "op13_hard_negatives": HARD_NEGATIVES,
 }

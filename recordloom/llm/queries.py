@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm import (
     bpe,
+    conversations,
     hard_negatives,
     knn,
     langid,
@@ -153,6 +154,29 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", remainder_is_2(4).alias("held_out"), *found.columns[1:])
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Every twentieth row or so dropped, emptied, without its marks, repeated, or the user's."""
+    space = F.lit(" ")
+    named = (F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+    fate = F.crc32(F.concat_ws(":", *named)) % 20
+    role, text = (F.coalesce(F.col(c), space) for c in ("role", "text"))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fate == 0, 0).when(fate == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+@query
+def op11_conversations(spark, sf_dir):
+    """Faults, cheapest edits and repaired text of every damaged conversation."""
+    ship_package(spark)
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repair(damaged(turns)).report
+
+
 @query
 def op13_hard_negatives(spark, sf_dir):
     """The hardest rows of other labels for every fiftieth vector and each of its 5 positives."""
