@@ -58,6 +58,22 @@ def hand_over(spark: SparkSession, fresh: str, target: str) -> None:
         raise OSError(f"{fresh} could not be moved to {target}")
 
 
+def first_bytes(spark: SparkSession, uri: str, count: int) -> bytes:
+    """The first bytes of a file, opened by the codec of its name."""
+    hadoop = spark._jvm.org.apache.hadoop
+    found = hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stream = found.getFileSystem(conf).open(found)
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(found)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    try:
+        read = [stream.read() for _ in range(count)]
+    finally:
+        stream.close()
+    return bytes(b for b in read if b >= 0)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote."""
     found, system = _path(spark, path)
@@ -65,11 +81,18 @@ def drop(spark: SparkSession, path: str) -> None:
 
 
 def hidden_files(spark: SparkSession, path: str) -> list[str]:
-    """Names in the folder ``path`` that Spark passes over, but for those that writers leave."""
+    """Names under ``path``, a file, a folder or a pattern, that Spark passes over, but for those that writers leave."""
     found, system = _path(spark, path)
-    inside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/[_.]*")
-    if any(c in path for c in "*?[{") or not system.exists(found) or not system.getFileStatus(found).isDirectory():
-        return []
-    names = [status.getPath().getName() for status in system.globStatus(inside)]
-    marks = ("_SUCCESS", "_temporary", "_committed_", "_started_", "_metadata", "_common_metadata")
-    return [n for n in names if not n.startswith(marks) and not n.endswith(".crc")]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    names = []
+    for pattern in (path, f"{path.rstrip('/')}/[_.]*", f"{path.rstrip('/')}/*/[_.]*"):
+        for status in system.globStatus(hadoop(pattern)) or ():
+            inside = status.getPath()
+            written = any(part.startswith(_MARKS) or part.endswith(".crc") for part in inside.toString().split("/"))
+            if inside.getName().startswith(("_", ".")) and not written:
+                names.append(inside.getName())
+    return names
+
+
+# Names that writers give to what is no data.
+_MARKS = ("_SUCCESS", "_temporary", "_committed_", "_started_", "_metadata", "_common_metadata")
