@@ -548,6 +548,26 @@ def full_audit(spark, sf_dir):
     )
 
 
+@query(
+    f"""
+SELECT count(*) AS batches, sum(n)::BIGINT AS rows, sum(nulls)::BIGINT AS nulls, TRUE AS within,
+       (SELECT CASE WHEN count(*) - count(o_custkey) > 1 THEN TRUE END FROM {HOLEY_ORDERS}) AS has_duplicates
+FROM (SELECT left(o_orderdate, 4) AS year, count(*) AS n, count(*) - count(o_custkey) AS nulls
+      FROM {HOLEY_ORDERS} GROUP BY year)
+"""
+)
+def merged_distinct(spark, sf_dir):
+    """Sketches of a column, one kept for each year, merged: whether the exact count lies within their bounds."""
+    orders = holey_orders(spark, sf_dir).withColumn("year", F.left("o_orderdate", F.lit(4)))
+    batches = quality.distinct_sketch(orders, "o_custkey", ["year"])
+    bounds = quality.sketch_bounds(quality.merged_sketches(batches))
+    exact = orders.agg(quality.distinct_with_null("o_custkey").alias("exact"))
+    counted = batches.agg(F.count(F.lit(1)).alias("batches"))
+    within = F.col("exact").between(F.col("at_least"), F.col("at_most")).alias("within")
+    # three tables of one row each
+    return bounds.join(exact, F.lit(True)).join(counted, F.lit(True)).select("batches", "rows", "nulls", within, "has_duplicates")
+
+
 # Sinks
 
 

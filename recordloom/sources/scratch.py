@@ -49,13 +49,67 @@ def _qualified(spark: SparkSession, path: str) -> str:
 
 
 def hand_over(spark: SparkSession, fresh: str, target: str) -> None:
-    """Put the finished folder ``fresh`` in the place of ``target``, which may exist."""
+    """Put the finished folder ``fresh`` in the place of ``target``, which may exist.
+
+    The earlier folder is moved aside before, and deleted after. If that is cut short between any two
+    steps, ``settle`` leaves the earlier or the new folder whole. A store without renaming
+    copies folders instead; give it a new ``target`` for each run.
+    """
+    settle(spark, target)
     found, system = _path(spark, target)
-    if system.exists(found):
-        system.delete(found, True)
     system.mkdirs(found.getParent())
-    if not system.rename(_path(spark, fresh)[0], found):
-        raise OSError(f"{fresh} could not be moved to {target}")
+    aside = None
+    if system.exists(found):
+        aside = _path(spark, f"{target.rstrip('/')}{_ASIDE}{uuid.uuid4().hex}")[0]
+        _rename(system, found, aside)
+    try:
+        _rename(system, _path(spark, fresh)[0], found)
+    except Exception:
+        if aside is not None:
+            _rename(system, aside, found)
+        raise
+    if aside is not None:
+        system.delete(aside, True)
+
+
+#: In the name of a folder that was moved aside.
+_ASIDE = "-replaced-"
+
+
+def settle(spark: SparkSession, target: str) -> None:
+    """Finish or undo a hand-over that was cut short; nothing to do after any other."""
+    found, system = _path(spark, target)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    asides = [status.getPath() for status in system.globStatus(hadoop(f"{target.rstrip('/')}{_ASIDE}*")) or ()]
+    if asides and not system.exists(found):
+        _rename(system, asides.pop(), found)
+    for aside in asides:
+        system.delete(aside, True)
+
+
+def _rename(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"{source.toString()} could not be moved to {target.toString()}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file."""
+    found, system = _path(spark, path)
+    stream = system.create(found, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None if there is none."""
+    found, system = _path(spark, path)
+    if not system.exists(found):
+        return None
+    stream = system.open(found)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
 
 
 def first_bytes(spark: SparkSession, uri: str, count: int) -> bytes:
