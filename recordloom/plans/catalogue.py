@@ -20,6 +20,7 @@ from recordloom.plans.curation import Curation, run
 from recordloom.plans.documents import documents_once, json_cells
 from recordloom.plans.profiles import VEHICLE_REGISTRATIONS
 from recordloom.sinks.table import ensure_namespace, write_table
+from recordloom.sources.admission import admission
 from recordloom.sources.envelope import Export, land
 from recordloom.sources.scratch import scratch_path
 
@@ -157,6 +158,83 @@ def flat_rows_split(spark, sf_dir):
     return customer_rows(Export.open(spark, path, whole_document_bytes=0))
 
 
+ORDER_COLUMNS = [{"fieldName": "key", "dataTypeName": "number"}, {"fieldName": "status"}]
+
+
+def order_documents(spark: SparkSession, sf_dir: str, label: str, edges) -> str:
+    """The orders in eight documents by the remainder of their key, ``edges`` around them."""
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(json_cells(F.col("o_orderkey"), F.col("o_orderstatus")), "o_orderkey")
+    return documents_once(sf_dir, label, rows, ORDER_COLUMNS, "o_orderkey", "o_orderkey", documents=8, edges=edges)
+
+
+def document_number() -> Column:
+    return F.regexp_extract("source", r"document=([0-9]+)", 1).cast("int").alias("document")
+
+
+def faulty(document: Column, before: Column, after: Column) -> tuple[Column, Column]:
+    """Documents 1 to 6 have a fault each, 7 describes other columns."""
+    opening = (
+        F.when(document == 1, F.regexp_replace(before, '"meta": .*, "data"', '"meta": {}, "data"'))
+        .when(document == 3, F.replace(before, F.lit('"data"'), F.lit('"rows"')))
+        .when(document == 6, F.concat(F.replace(before, F.lit('"data": ['), F.lit('"data": {"list": ['))))
+        .when(document == 7, F.replace(before, F.lit('"status"'), F.lit('"state"')))
+        .otherwise(before)
+    )
+    closing = (
+        F.when(document == 2, '], "d\\u0061ta": []}').when(document == 4, "]")
+        .when(document == 5, "]}]").when(document == 6, "]}}").otherwise(after)
+    )
+    return opening, closing
+
+
+@query(
+    """
+SELECT reader, document, CASE WHEN document IN (2, 3, 4, 5, 6) THEN 0 ELSE n END AS records,
+       CASE document WHEN 1 THEN 'a document has no column metadata' WHEN 2 THEN 'a document has data twice'
+            WHEN 3 THEN 'a document has no data' WHEN 4 THEN 'broken' WHEN 5 THEN 'broken'
+            WHEN 6 THEN 'data is not a list' END AS fault,
+       document = 0 AS loaded_with_first
+FROM (SELECT (o_orderkey % 8)::INTEGER AS document, count(*) AS n FROM orders GROUP BY 1),
+     (VALUES ('whole'), ('split')) AS r(reader)
+"""
+)
+def admission_table(spark, sf_dir):
+    """What either reader says of each document before any is loaded."""
+    path = order_documents(spark, sf_dir, "faulty", faulty)
+    fault = F.when(F.col("fault").rlike("too|one JSON|ends in"), "broken").otherwise(F.col("fault")).alias("fault")
+    sides = []
+    for reader, size in (("whole", 10**9), ("split", 0)):
+        rows = admission(spark, path, size).select(F.lit(reader).alias("reader"), document_number(), "records", fault, "described")
+        sides.append(rows)
+    both = sides[0].unionByName(sides[1])
+    good = both.where("document = 0").select("reader", F.col("described").alias("first"))  # a row for each reader
+    same = (F.col("fault").isNull() & (F.col("described") == F.col("first"))).alias("loaded_with_first")
+    return both.join(F.broadcast(good), "reader").select("reader", "document", "records", "fault", same)
+
+
+@query(
+    """
+SELECT document, place - 1 AS position, '[' || o_orderkey || ',"' || o_orderstatus || '"]' AS record
+FROM (SELECT *, (o_orderkey % 8)::INTEGER AS document,
+             row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY o_orderkey, o_orderstatus) AS place FROM orders)
+WHERE place <= 3 AND document <> 3
+UNION ALL SELECT 3, NULL, NULL FROM (SELECT 1 FROM orders WHERE o_orderkey % 8 = 3 LIMIT 1)
+"""
+)
+def first_records(spark, sf_dir):
+    """The first three records of every document, from either reader; document 3 has none."""
+
+    def without_records(document: Column, before: Column, after: Column) -> tuple[Column, Column]:
+        none = F.replace(before, F.lit('"data": ['), F.lit('"data": [ ], "rows": ['))
+        return F.when(document == 3, none).otherwise(before), after
+
+    path = order_documents(spark, sf_dir, "firsts", without_records)
+    read = [Export.open(spark, path, size).first_records(3) for size in (10**9, 0)]
+    found = read[0].unionByName(read[1]).select(document_number(), "position", F.to_json("record").alias("record"))
+    return found.distinct()
+
+
 # Metadata to schema
 
 TYPE_NAMES = ["number", "Number", "TEXT", "checkbox", "CheckBox", "calendar_date", ""]
