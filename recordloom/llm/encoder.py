@@ -13,6 +13,9 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+
+from recordloom.llm.text import alike, buffers
 
 #: Pieces kept by a worker: when there are so many, those not seen since the last time go.
 KEPT_PIECES = 550_000
@@ -33,8 +36,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.newline = self._ids("\n")
-        self.kept: dict[str, bytes] = {"": b"", "\n": self.newline.tobytes()}
-        self.before: dict[str, bytes] = {}
+        self.kept: dict[bytes, bytes] = {b"\n": self.newline.tobytes()}
+        self.before: dict[bytes, bytes] = {}
         self.limit = KEPT_PIECES
         kind = type(self.tokenizer.pre_tokenizer).__name__
         self.cuts = (
@@ -71,27 +74,95 @@ class Encoder:
             raise ValueError("the tokenizer does not keep line breaks apart")
         raw, at = ids.tobytes(), 0
         for piece, cut in zip(pieces, [*(4 * cuts).tolist(), len(raw)]):
-            self.kept[piece] = raw[at:cut]
+            self.kept[piece.encode()] = raw[at:cut]
             at = cut + 4
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens."""
-        cut = [pieces_of(text) if self.cuts else None for text in texts]
-        if len(self.kept) > self.limit:
-            self.kept, self.before = {p: self.kept[p] for p in ("", "\n")}, self.kept
-        found = Lookup(cut, self.kept, self.before)
-        if new := found.new:
-            odd = {p for p in new if ODD.search(p)} if ODD.search("".join(new)) else ()
-            self.kept.update(dict.fromkeys(odd))  # no bytes: their texts are encoded whole
-            self._learn([p for p in new if p not in odd])
-        out = []
-        for text, values in zip(texts, found.values(self.kept)):
-            try:
-                out.append(self._ids(text) if values is None else np.frombuffer(b"".join(values), "<u4"))
-            except TypeError:
-                out.append(self._ids(text))
+        return self.encode_utf8(*buffers(pa.array(texts, pa.large_string())))
+
+    def encode_utf8(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text, given as bytes."""
+        whole = whole_texts(data, offsets) if self.cuts else np.ones(len(offsets) - 1, bool)
+        start, end, text = piece_spans(data, offsets, whole)
+        first, same = alike(data, start, end)
+        raw = data.tobytes()
+        names = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        values = self._looked_up(names)
+        count = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat = np.frombuffer(b"".join(values), "<u4")
+        begin, counts = (np.cumsum(count) - count)[same], count[same]
+        ends = np.cumsum(counts)
+        ids = flat[np.arange(counts.sum()) + np.repeat(begin - (ends - counts), counts)]
+        stops = np.cumsum(np.bincount(text, counts, len(whole)).astype(np.int64))
+        out = np.split(ids, stops[:-1]) if len(stops) else []
+        for k in np.flatnonzero(whole & (np.diff(offsets) > 0)).tolist():
+            out[k] = self._ids(raw[offsets[k] : offsets[k + 1]].decode())
         return out
 
+    def _looked_up(self, names: list[bytes]) -> list[bytes]:
+        """The kept ids of distinct pieces; those of new ones are learned."""
+        if len(self.kept) > self.limit:
+            self.kept, self.before = {b"\n": self.newline.tobytes()}, self.kept
+        kept, before = self.kept, self.before
+        values = list(map(kept.get, names))
+        new = []
+        for k in [k for k, value in enumerate(values) if value is None]:
+            value = before.get(names[k])
+            if value is None:
+                new.append(k)
+            else:
+                values[k] = kept[names[k]] = value
+        if new:
+            self._learn([names[k].decode() for k in new])
+            for k in new:
+                values[k] = kept[names[k]]
+        return values
+
+
+# White space in UTF-8 other than a space and a line break, and separators of ASCII.
+_ODD_BYTES = np.zeros(256, bool)
+_ODD_BYTES[[9, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_ODD_CHARACTERS = np.array(
+    [int.from_bytes(chr(c).encode().ljust(3, b"\0"), "big") for c in
+     (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+)
+
+
+def whole_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The texts that can't be cut: white space side by side, at the end, or of other kinds, or special tokens."""
+    begins = np.zeros(len(data) + 1, bool)
+    begins[offsets] = True
+    space, line = data == 32, data == 10
+    beside = (space[:-1] & (space | line)[1:]) | (line[:-1] & line[1:]) | ((data[:-1] == 60) & (data[1:] == 124))
+    found = [np.flatnonzero(beside & ~begins[1:-1]), np.flatnonzero(space & begins[1:]), np.flatnonzero(_ODD_BYTES[data])]
+    lead = np.flatnonzero(_LEADS[data])
+    if len(lead):
+        ahead = np.append(data, [0, 0]).astype(np.int64)
+        two = ahead[lead] << 16 | ahead[lead + 1] << 8
+        third = np.where(ahead[lead] == 0xC2, 0, ahead[lead + 2])
+        found.append(lead[np.isin(two | third, _ODD_CHARACTERS)])
+    whole = np.zeros(len(offsets) - 1, bool)
+    whole[np.searchsorted(offsets, np.concatenate(found), side="right") - 1] = True
+    return whole
+
+
+def piece_spans(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and texts of the pieces of all texts but the ``whole`` ones: cut before spaces and around line breaks."""
+    new = np.zeros(len(data) + 1, bool)
+    new[:-1] = (data == 32) | (data == 10)
+    new[1:] |= data == 10
+    new[offsets] = True
+    edges = np.flatnonzero(new)
+    start, end = edges[:-1], edges[1:]
+    text = np.searchsorted(offsets, start, side="right") - 1
+    if whole.any():
+        some = ~whole[text]
+        start, end, text = start[some], end[some], text[some]
+    return start, end, text
+
 
 class Lookup:
     """What is kept of the pieces of many texts, each looked up once.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.encoder import Encoder
 from recordloom.llm.folders import table
-from recordloom.llm.text import slices
+from recordloom.llm.text import buffers, slices
 
 PLAN = "length long, rank_from long, pieces long, sequence_from long, offset long"
 
@@ -142,13 +142,12 @@ def document_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer, kept)
         for batch in slices(batches, "text"):
-            texts = [text or "" for text in batch.column("text").to_pylist()]
             rows = []
-            for row, ids in enumerate(encoder.encode(texts)):
+            for row, ids in enumerate(encoder.encode_utf8(*buffers(batch.column("text")))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, (start, length) in enumerate(cut_lengths(len(ids), capacity)):
                     own = ids[start : start + length]
-                    rows.append((row, piece, start, length, zlib.crc32(own.tobytes()), own))
+                    rows.append((row, piece, start, length, zlib.crc32(own), own if with_ids else None))
             of = batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int32()))
             columns = [of, *(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3, 4))]
             if with_ids:

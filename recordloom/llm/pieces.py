@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.text import buffers, slices, span_hashes, utf8
+from recordloom.llm.text import alike, buffers, slices, utf8
 
 #: Bytes of a text worked on at once; characters of a row of the merging matrix.
 PART, SHORT = 1 << 20, 32
@@ -435,15 +435,7 @@ class Model:
 
     def _looked_up(self, norm: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all segments, one after the other, and how many each has."""
-        hashes = span_hashes(norm, start, end)
-        _, first, same = np.unique(hashes, return_index=True, return_inverse=True)
-        size = end - start
-        alike = bool((size[first][same] == size).all())
-        if alike:  # segments follow each other without a gap
-            shift = np.repeat(start[first][same] - start, size)
-            alike = bool((norm[np.arange(len(norm)) + shift] == norm).all())
-        if not alike:  # two segments with one hash: each for itself
-            first = same = np.arange(len(start))
+        first, same = alike(norm, start, end)
         raw = norm.tobytes()
         names = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
         if len(self.kept) > KEPT_SEGMENTS:

@@ -171,3 +171,30 @@ def whole(words: Words, n: int) -> np.ndarray:
     """Which n-gram starts lie with all ``n`` words in one document."""
     count = max(0, len(words) - n + 1)
     return words.doc[:count] == words.doc[n - 1 :][:count]
+
+
+def alike(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each kind of equal bytes, and for every span the number of its kind.
+
+    Spans are told apart by their hashes and then compared byte by byte; where two of one
+    hash differ, every span is a kind of its own.
+    """
+    hashes, every = span_hashes(data, start, end), np.arange(len(start))
+    of, open_ = np.empty(len(start), np.int64), every
+    table, shift = np.empty(1 << 20, np.int64), 0
+    while len(open_):
+        slot = (hashes[open_] >> np.uint64(shift)).astype(np.int64) & (len(table) - 1)
+        table[slot] = open_  # of those that meet in a slot, one stays
+        found = table[slot]
+        same = hashes[found] == hashes[open_]
+        of[open_[same]] = found[same]
+        open_ = open_[~same]
+        shift = (shift + 7) % 44
+    size = end - start
+    where = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+    if not (size[of] == size).all() or (data[where] != data[where + np.repeat(start[of] - start, size)]).any():
+        return every, every
+    first = np.flatnonzero(of == every)
+    number = np.empty(len(start), np.int64)
+    number[first] = np.arange(len(first))
+    return first, number[of]

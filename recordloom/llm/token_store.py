@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.encoder import Encoder
 from recordloom.llm.folders import SharedWriter, open_input, shared_folder
-from recordloom.llm.text import slices
+from recordloom.llm.text import buffers, slices
 
 MAGIC = b"TOKSTOR1"
 FOOTER = struct.Struct("<8s32sQQQB")
@@ -90,7 +90,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int | None = None, fold
         encoder = Encoder.of(tokenizer)
         press = _compressor(dictionary)
         for batch in slices(batches, "text"):
-            ids = encoder.encode(_texts(batch))
+            ids = encoder.encode_utf8(*buffers(batch.column("text")))
             doc_ids = batch.column("doc_id")
             place = np.searchsorted(cuts, doc_ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(

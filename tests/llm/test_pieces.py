@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from recordloom.llm import pieces, queries
+from recordloom.llm import text as slices_of_text
 from recordloom.llm.text import buffers
 
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -91,7 +92,7 @@ def test_long_texts_are_cut_without_a_trace(data, monkeypatch):
 
 
 def test_segments_with_one_hash_are_kept_apart(data, monkeypatch):
-    monkeypatch.setattr(pieces, "span_hashes", lambda norm, start, end: (end - start).astype(np.uint64))
+    monkeypatch.setattr(slices_of_text, "span_hashes", lambda norm, start, end: (end - start).astype(np.uint64))
     check(data, drawn(4, 200))
 
 
