@@ -11,17 +11,20 @@ from __future__ import annotations
 import mmap
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordloom.sources.scratch import scratch_path
+from recordloom.sources.workers import ship_package
+
+__all__ = ["SharedWriter", "join_hot", "mapped", "open_input", "shared_folder", "ship_package", "table"]
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``; workers may write files into it."""
+    ship_package(spark)
     path = scratch_path(spark, label)
     system, inner = fs.FileSystem.from_uri(path)
     system.create_dir(inner, recursive=True)
@@ -30,6 +33,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
 def table(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, lineage cut."""
+    ship_package(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -73,15 +77,22 @@ def mapped(path: str) -> memoryview:
         return memoryview(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give this package's code to the session's workers, where it may not be installed."""
-    context = spark.sparkContext
-    if getattr(context, "_recordloom_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = f"{tempfile.mkdtemp(prefix='code-')}/{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as packed:
-        for file in sorted(package.rglob("*.py")):
-            packed.write(file, file.relative_to(package.parent))
-    context.addPyFile(archive)
-    context._recordloom_shipped = True
+#: Rows of one key from which it is joined apart, if they are also above the thousandth part of all.
+HOT_ROWS = 1000
+
+
+def join_hot(rows: DataFrame, table_: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table_``, which has each ``key`` once, without bringing the rows of a hot key together.
+
+    ``rows`` must be cheap to read again (written). Keys of more than ``HOT_ROWS`` rows, and more than the
+    thousandth part of the ``total``, are fewer than 1,000: their rows stay where they are and
+    the table's rows for them are broadcast.
+    """
+    most = max(HOT_ROWS, total // 1000)
+    if total <= most:
+        return rows.join(table_, key, how)
+    hot = table(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(key), "hot")
+    few = F.broadcast(table_.join(F.broadcast(hot), key, "left_semi"))
+    apart = rows.join(F.broadcast(hot), key, "left_semi").join(few, key, how)
+    rest = rows.join(F.broadcast(hot), key, "left_anti").join(table_, key, how)
+    return rest.unionByName(apart)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.text import alike, buffers, slices, utf8
+from recordloom.sources.workers import ship_package
 
 #: Bytes of a text worked on at once; characters of a row of the merging matrix.
 PART, SHORT = 1 << 20, 32
@@ -611,6 +612,7 @@ def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _plain(docs: DataFrame) -> DataFrame:
+    ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text").cast("string")).alias("text"))
 
 

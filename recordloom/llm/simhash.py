@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.llm.folders import table
+from recordloom.llm.folders import join_hot, ship_package, table
 from recordloom.llm.text import slices, utf8
 
 #: Fingerprints of one block value that a task works on at once.
@@ -56,15 +56,22 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id`` and its 64-bit ``fingerprint`` (as a signed long)."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
+    """``doc_id``, its 64-bit ``fingerprint`` (as a signed long), and ``body``, a hash of its text."""
+    ship_package(docs.sparkSession)
+    text = F.col("text").cast("string")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(text).alias("text"), _body(text).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            columns = [batch.column("doc_id"), pa.array(found.view(np.int64)), batch.column("body")]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "body"])
 
-    return plain.mapInArrow(run, "doc_id long, fingerprint long")
+    return plain.mapInArrow(run, "doc_id long, fingerprint long, body long")
+
+
+def _body(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _blocks(budget: int) -> list[tuple[int, int]]:
@@ -257,23 +264,26 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = table(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+    count = labels.count()
     while True:
         of_a = labels.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
         of_b = labels.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
         ends = both.join(of_a, "a").join(of_b, "b").where("root_b < root_a")
         hooks = ends.groupBy(F.col("root_a").alias("root")).agg(F.min("root_b").alias("lower"))
-        hooked = labels.join(hooks, "root", "left").select("node", F.coalesce("lower", "root").alias("root"), F.col("lower").isNotNull().alias("moved"))
+        hooked = join_hot(labels, hooks, "root", count, "left")
+        hooked = hooked.select("node", F.coalesce("lower", "root").alias("root"), F.col("lower").isNotNull().alias("moved"))
         hooked = table(hooked, "hooked")
         up = hooked.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        jumped = hooked.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), (F.col("moved") | (F.col("above") < F.col("root"))).alias("moved"))
+        jumped = join_hot(hooked, up, "root", count, "left")
+        jumped = jumped.select("node", F.coalesce("above", "root").alias("root"), (F.col("moved") | (F.col("above") < F.col("root"))).alias("moved"))
         jumped = table(jumped, "labels")
         labels = jumped.select("node", "root")
         if not jumped.where("moved").limit(1).count():
             return labels
 
 
-def near_duplicates(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (long) and ``component_id``, the least ``doc_id`` reachable by links."""
+def _grouped(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
+    """``doc_id, fingerprint, body`` with ``component_id`` and ``root``, the component's least fingerprint."""
     prints = table(fingerprints(docs, shingle), "fingerprints")
     # least(...) of a group that holds null ids only stays null
     distinct = table(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct")
@@ -281,16 +291,29 @@ def near_duplicates(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left")
     rooted = table(rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = rooted.join(least, "root").select("fingerprint", "component_id")
-    return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    ids = join_hot(rooted, table(least, "least"), "root", rooted.count())
+    return join_hot(prints, table(ids.select("fingerprint", "component_id", "root"), "ids"), "fingerprint", prints.count())
+
+
+def near_duplicates(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (long) and ``component_id``, the least ``doc_id`` reachable by links."""
+    return _grouped(docs, shingle, budget).select("doc_id", "fingerprint", "component_id")
 
 
 def first_of_each(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
     """One document of each component, with its columns: the one with the least ``doc_id``.
 
-    Rows that repeat this id stay as they are; rows without an id stay if nothing with
-    an id is near them.
+    Rows that repeat this id stay as they are, if they are in this component. Of a component without
+    any id one row stays, the one with the least fingerprint (ties by a hash of the text).
     """
-    found = near_duplicates(docs, shingle, budget)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_first_id"]), "left_semi")
+    found = _grouped(docs, shingle, budget)
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    named = found.where(own & F.col("doc_id").isNotNull()).select("doc_id", "body").distinct()
+    nameless = found.where("component_id IS NULL").groupBy("root").agg(F.min(F.struct("fingerprint", "body")).alias("first"))
+    kept = named.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), F.col("first.body").alias("body")))
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), _body(F.col("text").cast("string")).alias("body"))
+    left = rows.join(kept, rows["id"].eqNullSafe(kept["_id"]) & (rows["body"] == kept["_body"]), "left_semi")
+    one = left.where("id IS NULL").dropDuplicates(["body"])
+    return left.where("id IS NOT NULL").unionByName(one).select("row.*")

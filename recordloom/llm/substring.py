@@ -18,7 +18,8 @@ so the nodes at this depth with leaves of several documents are the repeats.
    missed, however many slices share it. Copies within a slice are sent once.
 4. Each group builds its trees level by level, splitting the nodes by the next word and
    ending those with one leaf, and compares the words themselves. It answers each slice
-   with one bit for each suffix: does a document with a smaller id have it?
+   with one bit for each suffix: does a document with a smaller id have it? Within a slice, windows
+   of one hash are told apart by their words before, so that nowhere a hash alone decides.
 
 Defined results: null texts have no words; a null ``doc_id`` counts as larger than all
 others; rows that repeat an id are one document (a window is never removed because of a
@@ -39,11 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.folders import table
-from recordloom.llm.text import Words, buffers, mix, ngrams, return_freed_memory, slices, span_hashes, utf8, whole
+from recordloom.llm.text import Words, alike, buffers, mix, ngrams, return_freed_memory, slices, span_hashes, utf8, whole
 from recordloom.sources.scratch import scratch_path
 
 #: Suffixes of a group of prefixes, and hashes of a part of the filter.
-GROUP, FILTER_PART = 700_000, 2_000_000
+GROUP, FILTER_PART = 350_000, 2_000_000
 #: Bytes of text in a slice.
 SLICE_BYTES = 4 << 20
 #: Bits of a window's hash that the filter compares, besides those that choose its part.
@@ -89,6 +90,7 @@ class Slice:
         self.ids = self.table["doc_id"].fill_null(int(LAST)).to_numpy()
         #: The windows' hashes, the places of each distinct one, and its least document.
         self.keys, self.of = np.unique(ngrams(self.hashes, window)[self.starts], return_inverse=True)
+        self._compare_words()
         owner = self.ids[self.words.doc[self.starts]]
         self.least = np.full(len(self.keys), LAST)
         np.minimum.at(self.least, self.of, owner)
@@ -98,15 +100,42 @@ class Slice:
         self.owner = owner
 
 
+    def _compare_words(self) -> None:
+        """Windows of one hash but with other words become distinct windows of that hash."""
+        times = np.bincount(self.of, minlength=len(self.keys))
+        again = np.flatnonzero(times[self.of] > 1)
+        if not len(again):
+            return
+        at, words = self.starts[again], self.words
+        steps = np.zeros(len(words) + 1, np.int64)
+        np.add.at(steps, at, 1)
+        np.add.at(steps, at + self.window, -1)
+        covered = np.flatnonzero(np.cumsum(steps)[:-1] > 0)
+        number = np.zeros(len(words), np.int64)
+        number[covered] = alike(words.data, words.start[covered], words.end[covered])[1]
+        first = np.zeros(len(self.keys), np.int64)
+        first[self.of[again[::-1]]] = at[::-1]
+        other = np.zeros(len(again), bool)
+        for k in range(self.window):
+            other |= number[at + k] != number[first[self.of[again]] + k]
+        if other.any():
+            kind = np.zeros(len(self.starts), np.int64)
+            rows = number[at[other][:, None] + np.arange(self.window)]
+            kind[again[other]] = np.unique(rows, axis=0, return_inverse=True)[1].ravel() + 1
+            kinds = int(kind.max()) + 1
+            found, self.of = np.unique(self.of * kinds + kind, return_inverse=True)
+            self.keys = self.keys[found // kinds]
+
+
 def _parts(keys: np.ndarray, parts: int) -> np.ndarray:
     """Ends of the filter's parts in sorted hashes."""
-    cuts = [min((1 << 64) - 1, (k << 64) // parts) for k in range(1, parts)]
+    cuts = [min((1 << 64) - 1, -(-(k << 64) // parts)) for k in range(1, parts)]
     return np.concatenate([[0], np.searchsorted(keys, np.array(cuts, np.uint64)), [len(keys)]])
 
 
-def _codes(keys: np.ndarray) -> np.ndarray:
-    """What the filter compares of a hash: bits that its part does not already tell."""
-    return (mix(keys) >> np.uint64(64 - FILTER_BITS)).astype(np.uint64)
+def _codes(keys: np.ndarray, parts: int) -> np.ndarray:
+    """What the filter compares of a hash: the bits after those that tell its part, so in the same order."""
+    return (keys * np.uint64(parts)) >> np.uint64(64 - FILTER_BITS)
 
 
 def _sliced(docs: DataFrame, window: int, id_column: str) -> tuple[DataFrame, int, int]:
@@ -136,6 +165,7 @@ def _sliced(docs: DataFrame, window: int, id_column: str) -> tuple[DataFrame, in
     writer = packed.write.format("parquet").option("path", path).option("compression", "none")
     writer.bucketBy(buckets, "slice").saveAsTable(name)
     stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its entry alone: the files are not the catalog's
     return stored, stored.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0], buckets
 
 
@@ -183,10 +213,9 @@ def _filter(stored: DataFrame, window: int, windows: int) -> tuple[DataFrame, Da
                 ends = _parts(found.keys, parts)
                 for part in np.flatnonzero(np.diff(ends)):
                     own = slice(ends[part], ends[part + 1])
-                    codes = _codes(found.keys[own])
-                    order = np.argsort(codes, kind="stable")
-                    steps = np.diff(codes[order], prepend=np.uint64(0)).astype(np.uint32)
-                    flags = np.packbits(found.several[own][order]).tobytes()
+                    codes = _codes(found.keys[own], parts)
+                    steps = np.diff(codes, prepend=np.uint64(0)).astype(np.uint32)
+                    flags = np.packbits(found.several[own]).tobytes()
                     # the bytes of the differences apart: the high ones are nearly all zero
                     planes = steps.view(np.uint8).reshape(-1, 4).T.tobytes()
                     yield _piece(int(part), number, _press(len(codes).to_bytes(8, "little") + flags + planes))
@@ -270,9 +299,7 @@ def _survivors(found: Slice, bits: list, parts: int) -> np.ndarray:
     ends, left = _parts(found.keys, parts), np.zeros(len(found.keys), bool)
     for entry in bits:
         own = slice(ends[entry["part"]], ends[entry["part"] + 1])
-        order = np.argsort(_codes(found.keys[own]), kind="stable")
-        marks = np.unpackbits(np.frombuffer(entry["payload"], np.uint8), count=len(order)).astype(bool)
-        left[np.arange(own.start, own.stop)[order]] = marks
+        left[own] = np.unpackbits(np.frombuffer(entry["payload"], np.uint8), count=own.stop - own.start).astype(bool)
     return np.flatnonzero(left)
 
 
@@ -318,7 +345,8 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
     leaf, distinct = _numbered(lines)
     least = np.full(len(distinct), LAST)
     np.minimum.at(least, leaf, owner)
-    number = _numbered(b" ".join(distinct).split())[0].reshape(-1, window)
+    del lines
+    number = _word_numbers(distinct, window)
     at = np.arange(len(distinct))
     node = np.zeros(len(distinct), np.int64)
     for level in range(window):
@@ -344,6 +372,16 @@ def _numbered(items: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return of, list(numbers)
 
 
+def _word_numbers(lines: list[bytes], window: int) -> np.ndarray:
+    """For each line the numbers of its words, taken in blocks: only distinct words are held."""
+    numbers: dict[bytes, int] = {}
+    out = np.empty((len(lines), window), np.int32)
+    for at in range(0, len(lines), 4096):
+        words = b" ".join(lines[at : at + 4096]).split()
+        out[at : at + 4096].flat = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
+    return out
+
+
 def _removed(found: Slice, smaller: np.ndarray) -> np.ndarray:
     """Which words go: those in a window that starts in a smaller document, of this slice or another."""
     gone = smaller[found.of] | (found.owner > found.least[found.of])

@@ -9,7 +9,7 @@ from plain import components, fingerprint, line_templates, removed_words
 from pyspark.sql import functions as F
 
 from recordloom.llm import line_templates as templates
-from recordloom.llm import simhash, substring
+from recordloom.llm import folders, simhash, substring
 
 
 def close(a, b):
@@ -72,6 +72,47 @@ def test_components_of_a_long_chain(spark):
     assert roots == {**{k: 0 for k in range(201)}, 1000: 1000, 1001: 1000}
 
 
+def test_rows_without_an_id_stay_once(spark):
+    """A copy without an id goes, an unlike row without one stays, copies of it do not."""
+    near = " ".join(f"w{i}" for i in range(300))
+    other = " ".join(f"x{i}" for i in range(300))
+    rows = [(1, near), (None, near), (None, near + " w300"), (None, other), (None, other), (2, "short"), (2, "unlike words here"), (3, "short")]
+    kept = simhash.first_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 4)
+    found = sorted((tuple(r) for r in kept.collect()), key=str)
+    assert found == sorted([(1, near), (None, other), (2, "short"), (2, "unlike words here")], key=str)
+
+
+def test_hot_keys_are_joined_apart(spark, monkeypatch):
+    monkeypatch.setattr(folders, "HOT_ROWS", 5)
+    rows = spark.createDataFrame([(7, k) for k in range(50)] + [(k, k) for k in range(20)] + [(99, 1)], "key long, n long")
+    table = spark.createDataFrame([(k, -k) for k in range(20)], "key long, value long")
+    for how in ("inner", "left"):
+        found = folders.join_hot(rows, table, "key", 71, how)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, rows.join(table, "key", how).collect()), key=str)
+    edges = spark.createDataFrame([(0, k) for k in range(1, 200)] + [(500, 501)], "a long, b long")
+    roots = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+    assert roots == {**{k: 0 for k in range(200)}, 500: 500, 501: 500}
+
+
+def test_windows_of_one_hash_are_told_apart_by_words(spark, monkeypatch):
+    rows = [(k, f"a b c {'d' if k % 2 else 'e'} f g {'h' * (k % 3)}") for k in range(9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    stored, _, _ = substring._sliced(frame, 4, "doc_id")
+    payload = stored.first()["rows"]
+    right = substring.Slice(payload, 4)
+    monkeypatch.setattr(substring, "ngrams", lambda hashes, n: np.zeros(max(0, len(hashes) - n + 1), np.uint64))
+    found = substring.Slice(payload, 4)
+    assert len(found.keys) == len(right.keys) > 3 and len(set(found.keys.tolist())) == 1
+    assert [found.least[k] for k in found.of] == [right.least[k] for k in right.of]
+    assert [found.several[k] for k in found.of] == [right.several[k] for k in right.of]
+
+
+def test_no_table_is_left_in_the_catalog(spark, docs):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert substring.digests(docs, 13).count() == docs.count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def check_substrings(frame, pairs, window):
     words, gone = removed_words(pairs, window)
     expected = []
