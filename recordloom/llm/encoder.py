@@ -18,7 +18,9 @@ import pyarrow as pa
 from recordloom.llm.text import alike, buffers
 
 #: Pieces kept by a worker: when there are so many, those not seen since the last time go.
-KEPT_PIECES = 550_000
+KEPT_PIECES = 700_000
+#: Bytes of text worked on at once: their arrays fit a core's cache.
+SLICE_BYTES = 1 << 19
 #: Pieces encoded as one text.
 TOGETHER = 100
 

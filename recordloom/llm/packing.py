@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.llm.encoder import Encoder
+from recordloom.llm.encoder import SLICE_BYTES, Encoder
 from recordloom.llm.folders import table
 from recordloom.llm.text import buffers, slices
 
@@ -141,7 +141,7 @@ def document_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer, kept)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             rows = []
             for row, ids in enumerate(encoder.encode_utf8(*buffers(batch.column("text")))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")

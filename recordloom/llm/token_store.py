@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.llm.encoder import Encoder
+from recordloom.llm.encoder import SLICE_BYTES, Encoder
 from recordloom.llm.folders import SharedWriter, open_input, shared_folder
 from recordloom.llm.text import buffers, slices
 
@@ -89,7 +89,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int | None = None, fold
     def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         press = _compressor(dictionary)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             ids = encoder.encode_utf8(*buffers(batch.column("text")))
             doc_ids = batch.column("doc_id")
             place = np.searchsorted(cuts, doc_ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False))
