@@ -274,6 +274,22 @@ def name_clean(spark, sf_dir):
     )
 
 
+# Letters and digits of several scripts, signs, a combining accent, and characters beyond 16 bits.
+FOREIGN = ["straße", "日本語", "Ωmega²", "½ ٣ Ⅷ", "cafe\u0301", "a—b", "x\U0001d53ay\U0001f600", "naïve\u00a0é"]
+
+
+@query(
+    f"""
+SELECT page_id, regexp_replace(url || (['{"','".join(FOREIGN)}'])[page_id % {len(FOREIGN)} + 1],
+                               '[^\\p{{L}}\\p{{N}}_]', '_', 'g') AS name FROM pages
+"""
+)
+def name_clean_foreign(spark, sf_dir):
+    """Names with letters beyond ASCII."""
+    foreign = F.element_at(F.array(*map(F.lit, FOREIGN)), (F.col("page_id") % len(FOREIGN) + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", names.clean_name(F.concat("url", foreign)).alias("name"))
+
+
 @query(
     """
 WITH RECURSIVE hosts AS (

@@ -1,6 +1,7 @@
 """Metadata to schema."""
 
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +103,16 @@ def test_rows_of_a_name_with_a_collision_go_to_many_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert len(tasks) > 4 and max(r["count"] for r in tasks) < 20_000
     assert out.select("out").distinct().count() == 40_000
+
+
+def test_every_character_is_cleaned_as_by_the_schema_builder(spark):
+    """All code points, in names of 64, each beside a letter beyond ASCII."""
+    codes = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    texts = ["é" + "".join(map(chr, codes[at : at + 64])) for at in range(0, len(codes), 64)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, name string").repartition(8)
+    found = {r.i: r.name for r in rows.select("i", names.clean_name(F.col("name")).alias("name")).collect()}
+    wrong = [i for i, text in enumerate(texts) if found[i] != clean_field_name(text, 0)]
+    assert not wrong
+    plain = spark.createDataFrame([("".join(map(chr, range(1, 128))),), (None,), ("",)], "name string")
+    cleaned = [r.name for r in plain.select(names.clean_name(F.col("name")).alias("name")).collect()]
+    assert cleaned == [clean_field_name("".join(map(chr, range(1, 128))), 0), None, ""]
