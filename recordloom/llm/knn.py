@@ -19,15 +19,17 @@ the query's id are no candidates.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm.folders import table
 
-#: Sampled vectors for pivots and lower bounds; pivots at most.
-SAMPLE, PIVOTS = 2048, 64
+#: Sampled vectors for pivots and lower bounds; pivots at least and at most, the square root of the rows between.
+SAMPLE, PIVOTS = 2048, (64, 512)
 #: Queries of a group, and members that a group takes at once.
 GROUP, BLOCK = 2048, 32_768
 
@@ -96,7 +98,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     sample, sample_ids = _matrix(drawn["vector"], width), drawn["vec_id"].to_numpy()
     order = np.lexsort((*sample.T, sample_ids))
     sample, sample_ids = sample[order], sample_ids[order]
-    pivots = _pivots(sample, PIVOTS)
+    pivots = _pivots(sample, min(PIVOTS[1], max(PIVOTS[0], math.isqrt(facts.n) // 4)))
 
     def placed(batches):
         for batch in batches:
@@ -157,8 +159,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
     sent = members.join(needs, "cell").where(F.col("distance") >= F.col("need"))
     sent = sent.select("group", block.alias("block"), "vec_id", "vector")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    wanted = grouped.select("group", every, "vec_id", "vector", "least")
+    # a group's queries go to the blocks in which it has members, which numbers alone tell
+    there = table(sent.select("group", "block").distinct(), "pairs")
+    wanted = grouped.join(there, "group").select("group", "block", "vec_id", "vector", "least")
 
     def solve(wanted: pa.Table, sent: pa.Table) -> pa.Table:
         found = []
@@ -183,11 +186,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     pairs = wanted.groupBy("group", "block").cogroup(sent.groupBy("group", "block"))
     local = pairs.applyInArrow(solve, "query_id long, vec_id long, score long")
-    # every block gives at most k rows of a query; they are put in order in one array
-    entry = F.struct((-F.col("score")).alias("negative"), "vec_id", "score")
-    best = local.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
-    ranked = best.select("query_id", F.posexplode("best").alias("place", "hit"))
-    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("hit.vec_id"), F.col("hit.score"))
+    # every block gives at most k rows of a query; these are merged as they are sorted, k at a time
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):

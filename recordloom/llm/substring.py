@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from recordloom.llm.text import Words, alike, buffers, mix, ngrams, return_freed
 from recordloom.sources.scratch import scratch_path
 
 #: Suffixes of a group of prefixes, and hashes of a part of the filter.
-GROUP, FILTER_PART = 350_000, 2_000_000
+GROUP, FILTER_PART = 500_000, 2_000_000
 #: Bytes of text in a slice.
 SLICE_BYTES = 4 << 20
 #: Bits of a window's hash that the filter compares, besides those that choose its part.
@@ -53,12 +54,22 @@ FILTER_BITS = 32
 FREQUENT = 0.25
 LAST = np.int64(2**63 - 1)
 
+@cache
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=3)
+
+
+@cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def _press(raw: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(raw)
+    return _compressor().compress(raw)
 
 
 def _unpress(raw: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(raw) if raw else b""
+    return _decompressor().decompress(raw) if raw else b""
 
 
 # Slices
@@ -412,7 +423,7 @@ def _with_answers(docs: DataFrame, window: int, id_column: str) -> tuple[DataFra
                 for group, own, at in _suffixes(found, marks, parts, split, groups):
                     raw = len(own).to_bytes(8, "little") + found.least[own].tobytes() + _stretches(found, at)
                     yield _piece(group, number, _press(raw))
-                return_freed_memory()
+        return_freed_memory()
 
     suffixes = known.mapInArrow(sent, PIECE_SQL)
 
@@ -456,7 +467,7 @@ def _judged(docs: DataFrame, window: int, id_column: str, make, schema) -> DataF
                         marked = np.unpackbits(np.frombuffer(payloads[group], np.uint8), count=len(own)).astype(bool)
                         smaller[own] = marked
                 yield make(found, _removed(found, smaller))
-                return_freed_memory()
+        return_freed_memory()
 
     return joined.mapInArrow(run, schema)
 

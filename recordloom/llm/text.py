@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,18 +23,23 @@ _BYTE_CODES = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint6
 _powers = {m: np.ones(1, np.uint64) for m in (_MULTIPLIER, _INVERSE)}
 
 
-try:
-    _libc = ctypes.CDLL("libc.so.6")
-    _libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: arrays of a MB and more are mapped, and unmapped when freed
-except (OSError, AttributeError):
-    _libc = None
+@cache
+def _allocator() -> ctypes.CDLL | None:
+    """The C library of a worker, set to use the memory of arrays up to 32 MB again, not to map it anew each time."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):
+        return None
+    return libc
 
 
 def return_freed_memory() -> None:
     """Give back to the system what a task has freed: workers live on, and hold it otherwise."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(AttributeError):
-        _libc.malloc_trim(0)
+        _allocator().malloc_trim(0)
 
 
 def utf8(column: str | Column) -> Column:
@@ -47,6 +53,7 @@ def slices(
     limit: int = SLICE_BYTES,
 ) -> Iterator[pa.RecordBatch]:
     """The rows in slices of at most ``limit`` bytes of a text column, one row at least."""
+    _allocator()
     of = column if callable(column) else lambda batch: batch.column(column)
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(of(batch)), 0).to_numpy(zero_copy_only=False)
@@ -102,6 +109,7 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        _allocator()
         self.data, self.offsets = data, offsets
         space = (data == 32) | ((data >= 9) & (data <= 13))
         cut = np.ones(len(data) + 1, bool)

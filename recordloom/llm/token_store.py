@@ -12,12 +12,14 @@ an id stay, in any order among themselves. Columns other than id and text are no
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,27 +39,27 @@ FILE_BYTES = 24 << 20
 
 INDEX = pa.schema([("doc_id", pa.int64()), ("place", pa.uint64()), ("size", pa.uint64()), ("n_tokens", pa.int64())])
 
-FILES = pa.schema([("file", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())])
-
-
-def _texts(batch: pa.RecordBatch) -> list[str]:
-    return [text or "" for text in batch.column("text").to_pylist()]
+FILES = pa.schema(
+    [("file", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("least", pa.int64()), ("most", pa.int64())]
+)
+FILES_SQL = "file int, path string, docs long, tokens long, least long, most long"
 
 
 def train_dictionary(docs: DataFrame, rows: int, tokenizer: str, end_id: int | None, width: int) -> bytes:
-    """A dictionary from the ids of at most ``DICTIONARY_DOCUMENTS`` documents; empty if too few."""
+    """A dictionary from the ids of at most ``DICTIONARY_DOCUMENTS`` documents.
+
+    Where they are too few or too much alike to train one, the ids themselves are the dictionary.
+    """
     share = min(1.0, DICTIONARY_DOCUMENTS / max(rows, 1))
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
     sample = docs.where(chosen & (F.length("text") <= DICTIONARY_LONGEST)).limit(DICTIONARY_DOCUMENTS)
     texts = [row.text for row in sample.select("text").collect()]
     ids = Encoder.of(tokenizer).encode(texts)
     samples = [_serialized(x, end_id, width) for x in ids if len(x) > 4]
-    if len(samples) < 16:
-        return b""
-    try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    if len(samples) >= 16:
+        with contextlib.suppress(zstandard.ZstdError):
+            return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
+    return b"".join(samples)[:DICTIONARY_BYTES]
 
 
 def _serialized(ids: np.ndarray, end_id: int | None, width: int) -> bytes:
@@ -116,7 +118,8 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int | None = None, fold
             writer.close()
             tokens = sum(int(np.sum(part.column("n_tokens").to_numpy())) for part in index)
             docs_in = sum(part.num_rows for part in index)
-            row = {"file": file, "path": writer.path, "docs": docs_in, "tokens": tokens}
+            ids = pc.min_max(pa.chunked_array([part.column("doc_id") for part in index])).as_py()
+            row = {"file": file, "path": writer.path, "docs": docs_in, "tokens": tokens, "least": ids["min"], "most": ids["max"]}
             return pa.RecordBatch.from_pylist([row], FILES)
 
         for batch in batches:
@@ -135,14 +138,13 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int | None = None, fold
         if writer:
             yield close()
 
-    listed = ordered.mapInArrow(stored, "file int, path string, docs long, tokens long").collect()
+    listed = ordered.mapInArrow(stored, FILES_SQL).collect()  # a row for each file
     listed.sort(key=lambda row: row.file)
     rows, before = [], 0
     for row in listed:
-        rows.append((row.file, row.path, row.docs, row.tokens, before))
+        rows.append((*row, before))
         before += row.tokens
-    schema = "file int, path string, docs long, tokens long, start long"
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/files")
+    spark.createDataFrame(rows, f"{FILES_SQL}, start long").coalesce(1).write.parquet(f"{folder}/files")
     spark.createDataFrame([(dictionary,)], "bytes binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     return folder
 
@@ -242,8 +244,9 @@ def store_rows(spark: SparkSession, folder: str, make, column: str) -> DataFrame
 
 
 def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[np.ndarray]:
-    """The ids of the documents with this id, from the index and their frames alone."""
+    """The ids of the documents with this id, from the indexes of the files that may have it and their frames alone."""
     files, dictionary = _opened(spark, folder)
+    files = files.where(F.lit(doc_id).between(F.col("least"), F.col("most")))
 
     def found(batches):
         for batch in batches:

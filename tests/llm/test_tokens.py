@@ -102,6 +102,17 @@ def test_store_of_nothing_and_of_another_dictionary(spark, empty, docs):
         token_store.StoredFile(path, b"another")
 
 
+def test_few_documents_share_a_dictionary_too(spark):
+    docs = spark.createDataFrame([(k, "the same words in every one of these few texts, again and again") for k in range(3)], "doc_id long, text string")
+    folder = token_store.write_store(docs, FILE, 2)
+    dictionary = bytes(spark.read.parquet(f"{folder}/dictionary").first()[0])
+    assert len(dictionary) > 8
+    rows = token_store.read_store(spark, folder).collect()
+    assert len(rows) == 3 and len({tuple(r["ids"]) for r in rows}) == 1
+    file = spark.read.parquet(f"{folder}/files").first()
+    assert (file["least"], file["most"]) == (0, 2)
+
+
 def best_fit(lengths, capacity):
     """Best-fit decreasing, piece by piece."""
     rests = []
