@@ -45,7 +45,7 @@ from recordloom.llm.text import Words, alike, buffers, mix, ngrams, return_freed
 from recordloom.sources.scratch import scratch_path
 
 #: Suffixes of a group of prefixes, and hashes of a part of the filter.
-GROUP, FILTER_PART = 500_000, 2_000_000
+GROUP, FILTER_PART = 700_000, 2_000_000
 #: Bytes of text in a slice.
 SLICE_BYTES = 4 << 20
 #: Bits of a window's hash that the filter compares, besides those that choose its part.
@@ -196,6 +196,9 @@ def _frequent(found: Slice, least: float) -> tuple[np.ndarray, np.ndarray]:
     at, level, prefixes, counts = found.starts, 1, [], []
     while len(at) and level <= found.window:
         keys = _prefix(found.hashes, at, level)
+        slot = (keys >> np.uint64(44)).astype(np.int64)
+        some = np.bincount(slot, minlength=1 << 20)[slot] >= least  # rarer ones need not be sorted
+        at, keys = at[some], keys[some]
         values, of, times = np.unique(keys, return_inverse=True, return_counts=True)
         often = times >= least
         prefixes.append(values[often])
