@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -237,6 +237,8 @@ def _filter(stored: DataFrame, window: int, windows: int) -> tuple[DataFrame, Da
                 if len(prefixes):
                     both = prefixes.tobytes() + times.astype(np.int64).tobytes()
                     yield _piece(-1, number, both, PREFIXES)
+                del found
+                return_freed_memory()  # the next slice takes as much
 
     pieces = table(stored.select("slice", "rows").mapInArrow(coded, PIECE_SQL), "filter")
 
@@ -334,6 +336,11 @@ def _suffixes(found: Slice, bits: list, parts: int, split: np.ndarray, groups: i
 
 def _stretches(found: Slice, at: np.ndarray) -> bytes:
     """The words of the suffixes' windows, one after the other, with single spaces and line ends."""
+    return b"".join(_stretch(found, at[k : k + 4096]) for k in range(0, len(at), 4096))
+
+
+def _stretch(found: Slice, at: np.ndarray) -> bytes:
+    """The same of a few."""
     words, last = found.words, at + found.window - 1
     start, size = words.start[at], words.end[last] - words.start[at]
     ends = np.cumsum(size + 1)
@@ -345,24 +352,31 @@ def _stretches(found: Slice, at: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int) -> np.ndarray:
-    """For suffixes of one group: does a smaller document have the same window?
+def _smaller_elsewhere(texts: Iterable[tuple[bytes, np.ndarray]], window: int) -> np.ndarray:
+    """For suffixes of one group, with their documents: does a smaller document have the same window?
 
     The trees are built from the top. A node is a run of suffixes with the same words so
     far; it is split by the next word, and a node with one leaf is left. Suffixes with
-    the same line of text are one leaf; words are compared through numbers that stand
-    for the distinct words of the group.
+    the same line of text are one leaf, whose text is held once; words are compared through numbers
+    that stand for the distinct words of the group.
     """
-    owner = np.concatenate(owners)
-    lines = b"".join(texts).split(b"\n")
-    lines.pop()
-    leaf, distinct = _numbered(lines)
+    numbers: dict[bytes, int] = {}
+    leaves, owners = [], []
+    for text, owner in texts:
+        lines = text.split(b"\n")
+        lines.pop()
+        leaves.append(np.fromiter((numbers.setdefault(line, len(numbers)) for line in lines), np.int32, len(lines)))
+        owners.append(owner)
+    if not leaves:
+        return np.zeros(0, bool)
+    leaf, owner, distinct = np.concatenate(leaves), np.concatenate(owners), list(numbers)
     least = np.full(len(distinct), LAST)
     np.minimum.at(least, leaf, owner)
-    del lines
+    del numbers, leaves, owners
     number = _word_numbers(distinct, window)
     at = np.arange(len(distinct))
     node = np.zeros(len(distinct), np.int64)
+    del distinct
     for level in range(window):
         if not len(at):
             break
@@ -379,13 +393,6 @@ def _smaller_elsewhere(texts: list[bytes], owners: list[np.ndarray], window: int
     return owner > least[leaf]
 
 
-def _numbered(items: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """A number for each item, the same for equal ones, and the distinct items by number."""
-    numbers: dict[bytes, int] = {}
-    of = np.fromiter((numbers.setdefault(item, len(numbers)) for item in items), np.int64, len(items))
-    return of, list(numbers)
-
-
 def _word_numbers(lines: list[bytes], window: int) -> np.ndarray:
     """For each line the numbers of its words, taken in blocks: only distinct words are held."""
     numbers: dict[bytes, int] = {}
@@ -426,24 +433,28 @@ def _with_answers(docs: DataFrame, window: int, id_column: str) -> tuple[DataFra
                 for group, own, at in _suffixes(found, marks, parts, split, groups):
                     raw = len(own).to_bytes(8, "little") + found.least[own].tobytes() + _stretches(found, at)
                     yield _piece(group, number, _press(raw))
-        return_freed_memory()
+                    del raw
+                del found
+                return_freed_memory()
 
     suffixes = known.mapInArrow(sent, PIECE_SQL)
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, owners, texts, group = [], [], [], None
-        for batch in batches:
-            for row in range(batch.num_rows):
-                group = batch.column("part")[row].as_py()
-                numbers.append(batch.column("slice")[row].as_py())
-                raw = _unpress(batch.column("payload")[row].as_py())
-                count = int.from_bytes(raw[:8], "little")
-                owners.append(np.frombuffer(raw, np.int64, count, 8))
-                texts.append(raw[8 + 8 * count :])
-        if not numbers:
-            return
-        smaller = _smaller_elsewhere(texts, owners, window)
-        ends = np.cumsum([len(o) for o in owners])
+        numbers, sizes, group = [], [], None
+
+        def opened() -> Iterator[tuple[bytes, np.ndarray]]:
+            nonlocal group
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    group = batch.column("part")[row].as_py()
+                    numbers.append(batch.column("slice")[row].as_py())
+                    raw = _unpress(batch.column("payload")[row].as_py())
+                    count = int.from_bytes(raw[:8], "little")
+                    sizes.append(count)
+                    yield raw[8 + 8 * count :], np.frombuffer(raw, np.int64, count, 8).copy()
+
+        smaller = _smaller_elsewhere(opened(), window)
+        ends = np.cumsum(sizes)
         for number, own in zip(numbers, np.split(smaller, ends[:-1])):
             yield _piece(group, number, np.packbits(own).tobytes())
         return_freed_memory()
@@ -470,7 +481,8 @@ def _judged(docs: DataFrame, window: int, id_column: str, make, schema) -> DataF
                         marked = np.unpackbits(np.frombuffer(payloads[group], np.uint8), count=len(own)).astype(bool)
                         smaller[own] = marked
                 yield make(found, _removed(found, smaller))
-        return_freed_memory()
+                del found
+                return_freed_memory()
 
     return joined.mapInArrow(run, schema)
 

@@ -20,7 +20,8 @@ SLICE_BYTES = 2 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BYTE_CODES = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)
-_powers = {m: np.ones(1, np.uint64) for m in (_MULTIPLIER, _INVERSE)}
+#: Bytes hashed at a time, and spans compared.
+_BLOCK = 1 << 16
 
 
 @cache
@@ -131,16 +132,12 @@ class Words:
         return np.diff(self.first)
 
 
-def _power(base: int, count: int) -> np.ndarray:
-    """``base`` to the powers 0 to ``count``, modulo 2^64; kept up to one slice."""
-    known = _powers[base]
-    if len(known) <= count:
-        steps = np.full(count + 1, base, np.uint64)
-        steps[0] = 1
-        known = np.cumprod(steps, dtype=np.uint64)
-        if count <= SLICE_BYTES + 1024:
-            _powers[base] = known
-    return known[: count + 1]
+@cache
+def _powers(base: int, count: int) -> np.ndarray:
+    """``base`` to the powers 0 to ``count``, less one, modulo 2^64."""
+    steps = np.full(count, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -160,8 +157,17 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     A polynomial rolling hash over random codes of the bytes, from running sums.
     """
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * _power(_MULTIPLIER, len(data))[: len(data)], out=sums[1:])
-    hashed = (sums[end] - sums[start]) * _power(_INVERSE, len(data))[start]
+    powers = _powers(_MULTIPLIER, _BLOCK)
+    for at in range(0, len(data), _BLOCK):
+        codes = _BYTE_CODES[data[at : at + _BLOCK]]
+        codes *= powers[: len(codes)]
+        codes *= np.uint64(pow(_MULTIPLIER, at, 1 << 64))
+        codes[:1] += sums[at : at + 1]
+        np.cumsum(codes, out=sums[at + 1 : at + 1 + len(codes)])
+    of_blocks = np.array([pow(_INVERSE, at, 1 << 64) for at in range(0, len(data) + 1, _BLOCK)], np.uint64)
+    hashed = sums[end] - sums[start]
+    hashed *= _powers(_INVERSE, _BLOCK)[start & (_BLOCK - 1)]
+    hashed *= of_blocks[start // _BLOCK]
     return mix(hashed ^ mix((end - start).astype(np.uint64)))
 
 
@@ -199,10 +205,26 @@ def alike(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
         open_ = open_[~same]
         shift = (shift + 7) % 44
     size = end - start
-    where = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
-    if not (size[of] == size).all() or (data[where] != data[where + np.repeat(start[of] - start, size)]).any():
+    if not (size[of] == size).all() or not _same_bytes(data, start[of], start, size):
         return every, every
     first = np.flatnonzero(of == every)
     number = np.empty(len(start), np.int64)
     number[first] = np.arange(len(first))
     return first, number[of]
+
+
+def _same_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.ndarray) -> bool:
+    """Are the spans from ``one`` equal to those from ``other``? Taken in blocks of some bytes, one span at least."""
+    differ = np.flatnonzero(one != other)
+    one, other, size = one[differ], other[differ], size[differ]
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        used = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, used + 4 * _BLOCK, side="right")))
+        many = size[at:to]
+        within = np.arange(many.sum()) - np.repeat(ends[at:to] - many - used, many)
+        if (data[within + np.repeat(one[at:to], many)] != data[within + np.repeat(other[at:to], many)]).any():
+            return False
+        at = to
+    return True
