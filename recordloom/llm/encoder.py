@@ -61,23 +61,25 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces that are not kept, which are kept from now on."""
         parts = [pieces[at : at + TOGETHER] for at in range(0, len(pieces), TOGETHER)]
+        values: list[bytes] = []
         for at in range(0, len(parts), TOGETHER):  # the library's results are large, so not all at once
             some = parts[at : at + TOGETHER]
-            joined = ["\n".join(part) for part in some]
+            joined = [b"\n".join(part).decode() for part in some]
             for part, found in zip(some, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-                self._keep(part, np.array(found.ids, "<u4"))
+                values += self._apart(len(part), np.array(found.ids, "<u4"))
+        self.kept.update(zip(pieces, values))
+        return values
 
-    def _keep(self, pieces: list[str], ids: np.ndarray) -> None:
-        """The ids of each of the pieces, which were encoded as lines of one text."""
+    def _apart(self, count: int, ids: np.ndarray) -> list[bytes]:
+        """The ids of each of ``count`` pieces, which were encoded as lines of one text."""
         cuts = np.flatnonzero(ids == self.newline[0])
-        if len(cuts) != len(pieces) - 1:
+        if len(cuts) != count - 1:
             raise ValueError("the tokenizer does not keep line breaks apart")
-        raw, at = ids.tobytes(), 0
-        for piece, cut in zip(pieces, [*(4 * cuts).tolist(), len(raw)]):
-            self.kept[piece.encode()] = raw[at:cut]
-            at = cut + 4
+        raw, ends = ids.tobytes(), (4 * cuts).tolist()
+        return [raw[a:b] for a, b in zip([0, *(end + 4 for end in ends)], [*ends, len(raw)])]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens."""
@@ -116,9 +118,8 @@ class Encoder:
             else:
                 values[k] = kept[names[k]] = value
         if new:
-            self._learn([names[k].decode() for k in new])
-            for k in new:
-                values[k] = kept[names[k]]
+            for k, value in zip(new, self._learn([names[k] for k in new])):
+                values[k] = value
         return values
 
 

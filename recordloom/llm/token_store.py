@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm.encoder import SLICE_BYTES, Encoder
@@ -45,15 +45,22 @@ FILES = pa.schema(
 FILES_SQL = "file int, path string, docs long, tokens long, least long, most long"
 
 
-def train_dictionary(docs: DataFrame, rows: int, tokenizer: str, end_id: int | None, width: int) -> bytes:
-    """A dictionary from the ids of at most ``DICTIONARY_DOCUMENTS`` documents.
+def measured(docs: DataFrame, rows: int) -> tuple[int, list[str]]:
+    """The bytes of all texts and at most ``DICTIONARY_DOCUMENTS`` of the ``rows`` texts, from one reading."""
+    share = min(1.0, DICTIONARY_DOCUMENTS / max(rows, 1))
+    seen, of_id = Observation(), F.xxhash64("doc_id")
+    chosen = F.pmod(of_id, F.lit(1 << 30)) < int(share * (1 << 30))
+    counted = docs.observe(seen, F.sum(F.octet_length("text")).alias("bytes"))
+    some = counted.where(chosen & (F.length("text") <= DICTIONARY_LONGEST)).select("text", of_id.alias("of_id"))
+    texts = [row.text for row in some.orderBy("of_id").limit(DICTIONARY_DOCUMENTS).collect()]
+    return seen.get.get("bytes") or 0, texts
+
+
+def train_dictionary(texts: list[str], tokenizer: str, end_id: int | None, width: int) -> bytes:
+    """A dictionary from the ids of some documents.
 
     Where they are too few or too much alike to train one, the ids themselves are the dictionary.
     """
-    share = min(1.0, DICTIONARY_DOCUMENTS / max(rows, 1))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = docs.where(chosen & (F.length("text") <= DICTIONARY_LONGEST)).limit(DICTIONARY_DOCUMENTS)
-    texts = [row.text for row in sample.select("text").collect()]
     ids = Encoder.of(tokenizer).encode(texts)
     samples = [_serialized(x, end_id, width) for x in ids if len(x) > 4]
     if len(samples) >= 16:
@@ -71,14 +78,15 @@ def _serialized(ids: np.ndarray, end_id: int | None, width: int) -> bytes:
 def write_store(docs: DataFrame, tokenizer: str, end_id: int | None = None, folder: str | None = None) -> str:
     """Encode ``docs`` (``doc_id``, ``text``) into a new folder; returns the folder.
 
-    ``tokenizer`` is the text of a tokenizer's JSON file. One reading finds the ranges
-    of ids for files of even size, a second one encodes; what is shuffled is compressed.
+    ``tokenizer`` is the text of a tokenizer's JSON file. One reading measures the texts and
+    takes the dictionary's sample, one of the ids alone finds their ranges for files of even size,
+    another encodes; what is shuffled is compressed.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     folder = folder or shared_folder(spark, "tokens")
-    size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    files = max(1, -(-size[1] // FILE_BYTES))
+    size, sample = measured(docs, docs.count())
+    files = max(1, -(-size // FILE_BYTES))
     cuts: list[int] = []
     if files > 1:
         shares = [i / files for i in range(1, files)]
@@ -86,7 +94,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int | None = None, fold
         cuts = sorted(set(found or []))
     largest = max(Encoder.of(tokenizer).tokenizer.get_vocab_size(), end_id or 0)
     width = 2 if largest < 1 << 16 else 4
-    dictionary = train_dictionary(docs, size[0], tokenizer, end_id, width)
+    dictionary = train_dictionary(sample, tokenizer, end_id, width)
 
     def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)

@@ -102,6 +102,38 @@ def test_store_of_nothing_and_of_another_dictionary(spark, empty, docs):
         token_store.StoredFile(path, b"another")
 
 
+def test_a_store_goes_through_the_texts_twice(spark, monkeypatch):
+    """Once to measure and sample them, once to encode; not again for the sample."""
+    monkeypatch.setattr(token_store, "DICTIONARY_DOCUMENTS", 40)
+    gone_through = spark.sparkContext.accumulator(0)
+
+    def text(k):
+        gone_through.add(1)
+        return f"text {k} of a few"
+
+    of = F.udf(text, "string").asNondeterministic()
+    folder = token_store.write_store(spark.range(50).select(F.col("id").alias("doc_id"), of("id").alias("text")), FILE, 2)
+    assert token_store.read_store(spark, folder).count() == 50
+    assert gone_through.value == 100
+
+
+@pytest.mark.parametrize("doc_id", ["id", "1L", "cast(null as long)"])
+def test_all_texts_are_measured_and_some_sampled(spark, monkeypatch, doc_id):
+    monkeypatch.setattr(token_store, "DICTIONARY_DOCUMENTS", 40)
+    docs = spark.sql(f"select {doc_id} as doc_id, if(id % 10 = 0, null, 'four') as text from range(0, 400, 1, 3)")
+    size, texts = token_store.measured(docs, 400)
+    assert size == 4 * 360 and len(texts) <= 40 and set(texts) <= {"four"}
+    assert token_store.measured(docs.where("text = 'none'"), 0) == (0, [])
+
+
+def test_new_pieces_are_kept_with_their_ids(library):
+    of = encoder.Encoder(FILE)
+    pieces = [f" new{k}x{k * k}".encode() for k in range(250)]
+    found = of._looked_up([*pieces, pieces[0], b"\n"])
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [library(p.decode()) for p in [*pieces, pieces[0], b"\n"]]
+    assert of._looked_up(pieces) == found[:250] and all(of.kept[p] == x for p, x in zip(pieces, found))
+
+
 def test_few_documents_share_a_dictionary_too(spark):
     docs = spark.createDataFrame([(k, "the same words in every one of these few texts, again and again") for k in range(3)], "doc_id long, text string")
     folder = token_store.write_store(docs, FILE, 2)
