@@ -173,6 +173,26 @@ TEMPLATE_DOCS = [
 ] + [(50, None), (51, ""), (None, "User 9 logged in from host h1\nlast")]
 
 
+def test_texts_are_shuffled_without_their_lines(spark):
+    docs = spark.range(30).selectExpr("id as doc_id", "concat('the same line here\\nline ', id) as text")
+    def shuffled(plan):
+        """The columns of each exchange, without those of the plan's inputs."""
+        own = [[plan.output().apply(k).name() for k in range(plan.output().size())]] if plan.nodeName() == "Exchange" else []
+        inner = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else None
+        below = [inner] if inner else [plan.children().apply(k) for k in range(plan.children().size())]
+        return [*own, *(x for p in below for x in shuffled(p))]
+
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = templates.drop_recurring(docs, 2, counts=True)
+        columns = shuffled(found._jdf.queryExecution().executedPlan())
+        assert found.agg(F.sum("n_lines"), F.sum("n_dropped")).first()[:] == (60, 58)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert [of for of in columns if "row" in of] == [["row", "document"]]
+
+
 @pytest.mark.parametrize("min_documents", [2, 4, 12, 14])
 def test_line_templates(spark, min_documents):
     frame = spark.createDataFrame(TEMPLATE_DOCS, "doc_id long, text string").repartition(3)
