@@ -15,7 +15,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from recordloom.llm.text import alike, buffers
+from recordloom.llm.text import alike, buffers, span_hashes, unequal
 
 #: Pieces kept by a worker: when there are so many, those not seen since the last time go.
 KEPT_PIECES = 700_000
@@ -38,8 +38,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.newline = self._ids("\n")
-        self.kept: dict[bytes, bytes] = {b"\n": self.newline.tobytes()}
-        self.before: dict[bytes, bytes] = {}
+        self.kept, self.before = self._fresh(), Table()
         self.limit = KEPT_PIECES
         kind = type(self.tokenizer.pre_tokenizer).__name__
         self.cuts = (
@@ -61,25 +60,34 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, pieces: list[bytes]) -> list[bytes]:
-        """The ids of pieces that are not kept, which are kept from now on."""
+    def _fresh(self) -> Table:
+        """A table that has the line break alone, which is never learned."""
+        table, line = Table(), np.array([10], np.uint8)
+        table.add(span_hashes(line, np.array([0]), np.array([1])), line, np.array([1]), self.newline, np.array([len(self.newline)]))
+        return table
+
+    def _learn(self, pieces: list[bytes], hashes: np.ndarray) -> None:
+        """Keep the ids of pieces that are not kept."""
         parts = [pieces[at : at + TOGETHER] for at in range(0, len(pieces), TOGETHER)]
-        values: list[bytes] = []
+        ids, counts = [], []
         for at in range(0, len(parts), TOGETHER):  # the library's results are large, so not all at once
             some = parts[at : at + TOGETHER]
             joined = [b"\n".join(part).decode() for part in some]
             for part, found in zip(some, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-                values += self._apart(len(part), np.array(found.ids, "<u4"))
-        self.kept.update(zip(pieces, values))
-        return values
-
-    def _apart(self, count: int, ids: np.ndarray) -> list[bytes]:
-        """The ids of each of ``count`` pieces, which were encoded as lines of one text."""
-        cuts = np.flatnonzero(ids == self.newline[0])
+                own, count = self._apart(len(part), np.array(found.ids, "<u4"))
+                ids.append(own)
+                counts.append(count)
+        texts = np.frombuffer(b"".join(pieces), np.uint8)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.kept.add(hashes, texts, sizes, np.concatenate(ids), np.concatenate(counts))
+
+    def _apart(self, count: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``count`` pieces, which were encoded as lines of one text, and how many each has."""
+        line = ids == self.newline[0]
+        cuts = np.flatnonzero(line)
         if len(cuts) != count - 1:
             raise ValueError("the tokenizer does not keep line breaks apart")
-        raw, ends = ids.tobytes(), (4 * cuts).tolist()
-        return [raw[a:b] for a, b in zip([0, *(end + 4 for end in ends)], [*ends, len(raw)])]
+        return ids[~line], np.diff(cuts, prepend=-1, append=len(ids)) - 1
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens."""
@@ -89,38 +97,160 @@ class Encoder:
         """The ids of each text, given as bytes."""
         whole = whole_texts(data, offsets) if self.cuts else np.ones(len(offsets) - 1, bool)
         start, end, text = piece_spans(data, offsets, whole)
-        first, same = alike(data, start, end)
+        hashes = span_hashes(data, start, end)
+        first, same = alike(data, start, end, hashes)
         raw = data.tobytes()
-        names = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
-        values = self._looked_up(names)
-        count = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        flat = np.frombuffer(b"".join(values), "<u4")
-        begin, counts = (np.cumsum(count) - count)[same], count[same]
-        ends = np.cumsum(counts)
-        ids = flat[np.arange(counts.sum()) + np.repeat(begin - (ends - counts), counts)]
+        flat, begin, counts = self._found(raw, data, start[first], end[first], hashes[first])
+        begin, counts = begin[same], counts[same]
+        ids = flat[spread(begin, counts)]
         stops = np.cumsum(np.bincount(text, counts, len(whole)).astype(np.int64))
         out = np.split(ids, stops[:-1]) if len(stops) else []
         for k in np.flatnonzero(whole & (np.diff(offsets) > 0)).tolist():
             out[k] = self._ids(raw[offsets[k] : offsets[k + 1]].decode())
         return out
 
-    def _looked_up(self, names: list[bytes]) -> list[bytes]:
-        """The kept ids of distinct pieces; those of new ones are learned."""
+    def _found(
+        self, raw: bytes, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array of ids, and where each piece's ids begin in it and how many they are; new pieces are learned.
+
+        ``raw`` are the bytes of ``data``.
+        """
         if len(self.kept) > self.limit:
-            self.kept, self.before = {b"\n": self.newline.tobytes()}, self.kept
-        kept, before = self.kept, self.before
-        values = list(map(kept.get, names))
-        new = []
-        for k in [k for k, value in enumerate(values) if value is None]:
-            value = before.get(names[k])
-            if value is None:
-                new.append(k)
-            else:
-                values[k] = kept[names[k]] = value
-        if new:
-            for k, value in zip(new, self._learn([names[k] for k in new])):
-                values[k] = value
-        return values
+            self.kept, self.before = self._fresh(), self.kept
+        number = self.kept.find(hashes, data, start, end)
+        open_ = np.flatnonzero(number < 0)
+        if len(open_):
+            old = self.before.find(hashes[open_], data, start[open_], end[open_])
+            was = old >= 0
+            if was.any():
+                self.kept.add(hashes[open_[was]], *self.before.rows(old[was]))
+            new = open_[~was]
+            if len(new):
+                self._learn([raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())], hashes[new])
+            number[open_] = self.kept.find(hashes[open_], data, start[open_], end[open_])
+        flat, begin, counts = self.kept.ids.values, self.kept.first.values[number], self.kept.counts.values[number].astype(np.int64)
+        for k in np.flatnonzero(number < 0).tolist():  # another piece has the same hash
+            own = self._ids(raw[start[k] : end[k]].decode())
+            begin[k], counts[k] = len(flat), len(own)
+            flat = np.concatenate([flat, own])
+        return flat, begin, counts
+
+    def _looked_up(self, names: list[bytes]) -> list[bytes]:
+        """The ids of pieces given one by one, as bytes."""
+        raw = b"".join(names)
+        data, ends = np.frombuffer(raw, np.uint8), np.cumsum([len(name) for name in names])
+        start = ends - [len(name) for name in names]
+        flat, begin, counts = self._found(raw, data, start, ends, span_hashes(data, start, ends))
+        return [flat[a : a + n].tobytes() for a, n in zip(begin.tolist(), counts.tolist())]
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self._room, self._size = np.empty(1024, kind), 0
+
+    def append(self, values: np.ndarray) -> None:
+        size = self._size + len(values)
+        if size > len(self._room):
+            room = np.empty(max(size, 2 * len(self._room)), self._room.dtype)
+            room[: self._size] = self.values
+            self._room = room
+        self._room[self._size : size] = values
+        self._size = size
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._room[: self._size]
+
+
+def spread(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of all elements of stretches, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(counts.sum()) + np.repeat(begin - (ends - counts), counts)
+
+
+class Table:
+    """Pieces of text with their ids, found by 64-bit hashes and then compared byte by byte.
+
+    Of pieces that share a hash, the first is kept.
+    """
+
+    def __init__(self):
+        self.slots = np.full(1 << 12, -1, np.int32)
+        self.hashes, self.texts, self.ids = Grown(np.uint64), Grown(np.uint8), Grown("<u4")
+        self.start, self.first, self.sizes, self.counts = (Grown(kind) for kind in (np.int64, np.int64, np.int32, np.int32))
+
+    def __len__(self) -> int:
+        return len(self.hashes.values)
+
+    def __getitem__(self, piece: bytes) -> bytes:
+        """The ids of one piece, as bytes."""
+        data, start, end = np.frombuffer(piece, np.uint8), np.array([0]), np.array([len(piece)])
+        number = self.find(span_hashes(data, start, end), data, start, end)
+        if number[0] < 0:
+            raise KeyError(piece)
+        return self.rows(number)[2].tobytes()
+
+    def _of_hash(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of the piece with each hash, -1 if there is none."""
+        number, kept = np.full(len(hashes), -1, np.int64), self.hashes.values
+        if not len(kept):
+            return number
+        last = len(self.slots) - 1
+        open_, slot = np.arange(len(hashes)), (hashes & np.uint64(last)).astype(np.int64)
+        while len(open_):
+            there = self.slots[slot]
+            same = (there >= 0) & (kept[there] == hashes[open_])
+            number[open_[same]] = there[same]
+            on = (there >= 0) & ~same
+            open_, slot = open_[on], (slot[on] + 1) & last
+        return number
+
+    def find(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 if it is not kept."""
+        number, size = self._of_hash(hashes), end - start
+        if len(self):
+            number[(number >= 0) & (self.sizes.values[number] != size)] = -1
+        hit = np.flatnonzero(number >= 0)
+        for differ in unequal(data, start[hit], self.texts.values, self.start.values[number[hit]], size[hit]):
+            number[hit[differ]] = -1
+        return number
+
+    def rows(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes and sizes, ids and their counts of kept pieces."""
+        sizes, counts = self.sizes.values[number].astype(np.int64), self.counts.values[number].astype(np.int64)
+        texts = self.texts.values[spread(self.start.values[number], sizes)]
+        return texts, sizes, self.ids.values[spread(self.first.values[number], counts)], counts
+
+    def add(self, hashes: np.ndarray, texts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keep pieces, given as their bytes one after the other, of which none is kept."""
+        one = np.sort(np.unique(hashes, return_index=True)[1])
+        one = one[self._of_hash(hashes[one]) < 0]
+        start, first = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
+        before, of_texts, of_ids = len(self), len(self.texts.values), len(self.ids.values)
+        if len(one) < len(hashes):
+            texts, ids = texts[spread(start[one], sizes[one])], ids[spread(first[one], counts[one])]
+            hashes, sizes, counts = hashes[one], sizes[one], counts[one]
+            start, first = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
+        given = (hashes, texts, sizes, ids, counts, start + of_texts, first + of_ids)
+        for grown, values in zip((self.hashes, self.texts, self.sizes, self.ids, self.counts, self.start, self.first), given):
+            grown.append(values)
+        if 2 * len(self) > len(self.slots):
+            self.slots = np.full(1 << (2 * len(self)).bit_length(), -1, np.int32)
+            before = 0
+        self._place(np.arange(before, len(self)))
+
+    def _place(self, number: np.ndarray) -> None:
+        """Give each piece a slot."""
+        last = len(self.slots) - 1
+        slot = (self.hashes.values[number] & np.uint64(last)).astype(np.int64)
+        while len(number):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = number[free]  # of those that meet in a slot, one stays
+            on = self.slots[slot] != number
+            number, slot = number[on], (slot[on] + 1) & last
 
 
 # White space in UTF-8 other than a space and a line break, and separators of ASCII.

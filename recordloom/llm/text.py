@@ -187,13 +187,13 @@ def whole(words: Words, n: int) -> np.ndarray:
     return words.doc[:count] == words.doc[n - 1 :][:count]
 
 
-def alike(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def alike(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """One span of each kind of equal bytes, and for every span the number of its kind.
 
-    Spans are told apart by their hashes and then compared byte by byte; where two of one
-    hash differ, every span is a kind of its own.
+    Spans are told apart by their hashes (``span_hashes``) and then compared byte by byte;
+    where two of one hash differ, every span is a kind of its own.
     """
-    hashes, every = span_hashes(data, start, end), np.arange(len(start))
+    hashes, every = span_hashes(data, start, end) if hashes is None else hashes, np.arange(len(start))
     of, open_ = np.empty(len(start), np.int64), every
     table, shift = np.empty(1 << 20, np.int64), 0
     while len(open_):
@@ -214,9 +214,13 @@ def alike(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 
 def _same_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.ndarray) -> bool:
-    """Are the spans from ``one`` equal to those from ``other``? Taken in blocks of some bytes, one span at least."""
+    """Are the spans from ``one`` equal to those from ``other``?"""
     differ = np.flatnonzero(one != other)
-    one, other, size = one[differ], other[differ], size[differ]
+    return not any(map(len, unequal(data, one[differ], data, other[differ], size[differ])))
+
+
+def unequal(data: np.ndarray, one: np.ndarray, others: np.ndarray, other: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """The spans from ``one`` of ``data`` that differ from those from ``other`` of ``others``, by blocks of some bytes, one span at least."""
     ends = np.cumsum(size)
     at = 0
     while at < len(size):
@@ -224,7 +228,6 @@ def _same_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.n
         to = max(at + 1, int(np.searchsorted(ends, used + 4 * _BLOCK, side="right")))
         many = size[at:to]
         within = np.arange(many.sum()) - np.repeat(ends[at:to] - many - used, many)
-        if (data[within + np.repeat(one[at:to], many)] != data[within + np.repeat(other[at:to], many)]).any():
-            return False
+        differ = np.flatnonzero(data[within + np.repeat(one[at:to], many)] != others[within + np.repeat(other[at:to], many)])
+        yield np.unique(at + np.searchsorted(ends[at:to] - used, differ, side="right"))
         at = to
-    return True

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -134,6 +135,47 @@ def test_new_pieces_are_kept_with_their_ids(library):
     assert of._looked_up(pieces) == found[:250] and all(of.kept[p] == x for p, x in zip(pieces, found))
 
 
+def test_kept_pieces_are_no_objects():
+    """Rows of arrays: a dictionary had two objects for each piece, looked up one by one."""
+    of = encoder.Encoder(FILE)
+    of.encode(["to begin with"])
+    before = sys.getallocatedblocks()
+    for at in range(0, 40_000, 4000):
+        of.encode([" ".join(f"new{k}x{k * k}" for k in range(at, at + 4000))])
+    assert len(of.kept) > 40_000
+    assert sys.getallocatedblocks() - before < 10_000
+
+
+def test_pieces_that_share_a_hash_have_their_own_ids(library, monkeypatch):
+    def few(data, start, end):
+        return (data[start].astype(np.uint64) + (end - start).astype(np.uint64)) % np.uint64(7)
+
+    monkeypatch.setattr(encoder, "span_hashes", few)
+    own = encoder.Encoder(FILE)
+    own.limit = 5
+    texts = odd_texts()[:300]
+    for at in range(0, len(texts), 30):
+        batch = texts[at : at + 30]
+        assert [x.tolist() for x in own.encode(batch)] == [library(t) for t in batch]
+    assert len(own.kept) <= 7
+
+
+def test_a_table_finds_what_was_added():
+    table, rng = encoder.Table(), random.Random(3)
+    words = list({"".join(rng.choices("abcdé ", k=rng.randrange(1, 9))).encode(): None for _ in range(20_000)})
+    for at in range(0, len(words), 3000):
+        some = words[at : at + 3000]
+        some += some[:5]  # the same piece twice in what is added
+        data, sizes = np.frombuffer(b"".join(some), np.uint8), np.array([len(w) for w in some])
+        ends = np.cumsum(sizes)
+        hashes = encoder.span_hashes(data, ends - sizes, ends)
+        table.add(hashes, data, sizes, np.frombuffer(b"".join(zlib.crc32(w).to_bytes(4, "little") * len(w) for w in some), "<u4"), sizes)
+    assert len(table) == len(words)
+    assert all(table[w] == zlib.crc32(w).to_bytes(4, "little") * len(w) for w in words)
+    with pytest.raises(KeyError):
+        table[b"none of them"]
+
+
 def test_few_documents_share_a_dictionary_too(spark):
     docs = spark.createDataFrame([(k, "the same words in every one of these few texts, again and again") for k in range(3)], "doc_id long, text string")
     folder = token_store.write_store(docs, FILE, 2)
