@@ -249,3 +249,54 @@ def test_texts_with_letters_stay_where_no_language_was_learned(docs, rows):
     kept = langid.keep(unlabelled, langid.train(unlabelled, F.lit(True)))
     letters = [str(i) for i, t, _ in rows if any(c.isalpha() for c in t or "")]
     assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(letters)
+
+
+@pytest.mark.parametrize("order", [2, 3, 7])
+def test_language_model_with_frequent_words(docs, rows, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 60_000)
+    monkeypatch.setattr(ngram_lm, "HOT_BYTES", 600)  # words are frequent that occur 100 times
+    model = ngram_lm.train(docs, order)
+    # The contexts of such words lie in several shards; at order 7 they are hashed.
+    assert model.shards > 1 and all(any(model.levels[n].sums) for n in range(2, order + 1))
+    assert order < 7 or (order - 1) * model.numbers.bits > 64
+    plain = PlainModel([t for _, t, _ in rows], order)
+    found = {(r["doc_id"], r["n_tokens"]): r["score"] for r in ngram_lm.score(docs, model).collect()}
+    for i, text, _ in rows:
+        tokens = tokens_of(text)
+        padded = ["<"] * (order - 1) + tokens
+        score = sum(math.log10(plain.probability(tuple(padded[k : k + order]))) for k in range(len(tokens)))
+        assert math.isclose(found[i, len(tokens)], score, rel_tol=1e-9)
+
+
+def test_language_model_takes_little_disk(spark):
+    random_ = random.Random(3)
+    texts = [" ".join(f"word{int(random_.paretovariate(0.5)) % 30_000}" for _ in range(300)) for _ in range(1000)]
+
+    def used():
+        folder = spark.conf.get("spark.checkpoint.dir")
+        return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files)
+
+    before = used()
+    ngram_lm.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3)
+    assert used() - before < 0.8 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("width", [1, 2, 9, 17, 31, 40, 47, 58, 63, 64])
+def test_sets_find_their_numbers(width):
+    rng = np.random.default_rng(width)
+    for size in (1, 6, 5000):
+        listed = np.unique(rng.integers(0, 2**width, 2 * size, np.uint64))
+        inside = rng.permutation(len(listed))[: max(1, len(listed) // 2)]
+        arrays, order = ngram_lm._set(listed[inside], width)
+        there, at = ngram_lm.Set(*arrays).find(listed)
+        assert there.tolist() == sorted(inside.tolist())
+        assert (listed[inside][order][at] == listed[there]).all()
+
+
+@pytest.mark.parametrize("bits", [5, 21, 40])
+def test_rows_are_counted(bits):
+    rng = np.random.default_rng(bits)
+    columns = [rng.choice(rng.integers(0, 2**bits, 9, np.uint64), 2000) for _ in range(3)]
+    plain = collections.Counter(zip(*map(np.ndarray.tolist, columns)))
+    for found, (counts,) in (ngram_lm.counted_rows(columns, bits), ngram_lm.added(columns, [np.ones(2000, np.uint64)], bits)):
+        assert list(zip(zip(*map(np.ndarray.tolist, found)), counts.tolist())) == sorted(plain.items())
