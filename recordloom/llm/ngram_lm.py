@@ -101,14 +101,19 @@ def _sorting(columns: list[np.ndarray], bits: int) -> np.ndarray:
     fits = 64 // bits
     code = joined(columns[:fits], bits)
     order = np.argsort(code)
-    if len(columns) <= fits:
+    if len(columns) <= fits or not len(order):
         return order
-    first = _changes([code[order]])
-    run = np.cumsum(first, dtype=np.uint64)
-    some = np.flatnonzero(~(first & np.append(first[1:], True)))
-    if len(some):
-        equal, bits = order[some], max(bits, len(run).bit_length())
-        order[some] = equal[_sorting([run[some], *(c[equal] for c in columns[fits:])], bits)]
+    first, rows = _changes([code[order]]), len(order).bit_length()
+    for column in columns[fits:]:
+        some = np.flatnonzero(~(first & np.append(first[1:], True)))
+        equal, width = order[some], bits
+        own, run = column[equal], np.cumsum(first, dtype=np.uint64)[some]
+        if rows + bits > 64:
+            own, width = np.unique(own, return_inverse=True)[1].astype(np.uint64), rows
+        code = run << np.uint64(width) | own
+        by = np.argsort(code)
+        order[some] = equal[by]
+        first[some] |= _changes([code[by]])
     return order
 
 
